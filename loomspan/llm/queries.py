@@ -16,7 +16,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import dedup_report
+
+    return dedup_report(table(spark, sf_dir, "documents")).drop("text_chars")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_report
+
+    return mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_exact_dedup": op4_exact_dedup,
+    "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
