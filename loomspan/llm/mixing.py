@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, staged, text_key
 
 #: Rows in a range of keys, about.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_000
 #: The unit interval is cut at 52 bits of the hash.
 UNIT = float(1 << 52)
 
@@ -85,19 +85,22 @@ def mix_report(docs: DataFrame, seed: int = 17, share: float = 1.5, weights: tup
     rows = rows.join(goal, ["source", "no_source"])
     spread = F.floor((1 - F.exp(-F.col("draw"))) * F.col("ranges")).cast("long")
     rows = rows.withColumn("range", spread)
-    sums = rows.groupBy("source", "no_source", "range").agg(F.sum("size").alias("range_size"))
+    sums = staged(rows.groupBy("source", "no_source", "range").agg(F.sum("size").alias("range_size")), "ranges")
     ahead = Window.partitionBy("source", "no_source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "no_source", "range", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("ahead"))
     within = Window.partitionBy("source", "no_source", "range").orderBy("draw", "doc_id", "size", "key").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(within)).join(sums, ["source", "no_source", "range"])
     rows = staged(rows.withColumn("end", F.col("ahead") + F.col("upto")), "drawn")
     # Documents that end within the budget are taken, and then the one that comes nearest to what is missing.
+    parts = ["source", "no_source", "range"]
     used = rows.groupBy("source", "no_source").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("used"))
-    rows = rows.join(used, ["source", "no_source"]).withColumn("miss", F.abs(F.col("rest") - F.col("used") - F.col("size")))
+    rows = rows.join(staged(sums.select(*parts).join(used, ["source", "no_source"]), "used"), parts).withColumn("miss", F.abs(F.col("rest") - F.col("used") - F.col("size")))
     open_ = (F.col("end") > F.col("rest")) & (F.col("miss") < F.col("rest") - F.col("used"))
-    last = rows.where(open_).groupBy("source", "no_source").agg(F.min(F.struct("miss", "draw", "end")).alias("last"))
-    rows = rows.join(last, ["source", "no_source"], "left")
-    drawn = (F.col("end") <= F.col("rest")) | (open_ & (F.struct("miss", "draw", "end") == F.col("last")))
+    last = rows.where(open_).groupBy("source", "no_source").agg(F.min(F.struct("miss", "draw", "end", "range")).alias("last"))
+    last = last.select("source", "no_source", "last.range", F.col("last.miss").alias("last_miss"), F.col("last.draw").alias("last_draw"), F.col("last.end").alias("last_end"))
+    rows = rows.join(last, parts, "left")
+    is_last = (F.col("miss") == F.col("last_miss")) & (F.col("draw") == F.col("last_draw")) & (F.col("end") == F.col("last_end"))
+    drawn = (F.col("end") <= F.col("rest")) | (open_ & is_last)
     copies = F.col("whole") + F.when(F.coalesce(drawn, F.lit(False)) & (F.col("whole") < epochs), 1).otherwise(0)
     rows = rows.withColumn("copies", copies.cast("long"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "key", F.when(~F.col("no_source"), F.col("source")).alias("source"))
