@@ -28,6 +28,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents")).drop("text_chars")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_report
 
@@ -37,6 +43,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
