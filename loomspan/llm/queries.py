@@ -28,6 +28,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents")).drop("text_chars")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from .common import scratch_dir
+    from .sharding import shard_report
+
+    return shard_report(table(spark, sf_dir, "documents"), f"{scratch_dir(spark)}/shards-{uuid.uuid4().hex}")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import near_duplicates
 
@@ -43,6 +58,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sharding": op5_sharding,
+    "op7_language": op7_language,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
