@@ -228,7 +228,7 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Data
     found = counted.groupBy(units.alias("units")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("doc_tokens") / length)).alias("whole")).collect()
     demand = {r["units"]: r["n"] for r in found if r["units"]}
     rows, patterned = slots(demand, length // UNIT)
-    parts = 1 + sum(r["n"] for r in found) // 100_000
+    parts = 1 + sum(r["n"] for r in found) // 2_000
     salt = F.pmod(F.xxhash64("row"), F.lit(parts))
 
     pieces = counted.where(rest > 0).select("row", "doc_id", "key", "doc_tokens", (F.col("doc_tokens") - rest).alias("start"), rest.alias("length"), F.element_at("crcs", -1).alias("ids_crc32"), units.alias("units"))
