@@ -16,6 +16,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
+def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .extraction import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op3_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .scoring import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -56,7 +68,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_extraction": op1_extraction,
     "op2_packing": op2_packing,
+    "op3_scoring": op3_scoring,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op7_language": op7_language,
