@@ -49,6 +49,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"), f"{scratch_dir(spark)}/shards-{uuid.uuid4().hex}")
 
 
+def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .privacy import private_report
+
+    return private_report(table(spark, sf_dir, "documents")).drop("key", "all_spans")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import identify
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_scoring": op3_scoring,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op6_privacy": op6_privacy,
     "op7_language": op7_language,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
