@@ -2,13 +2,13 @@
 
 A document's set holds its distinct shingles of ``size`` lower-cased words, as
 64-bit hashes; documents with one set are one class. Two similar sets of n
-shingles share at least one of the first p = n - ceil(t n) + 1 of each in any
-common order. A prefix is estimated to be dear when it holds shingles that many
-documents have; it is then lengthened until it holds p others, and as many more
-shared shingles (l of them) are asked of two prefixes before a pair is
-verified. As fewer than l can be dear ones, candidates need meet only in the
-others. How frequent shingles are is counted over all documents in a table of
-hashed counters of fixed size; their error costs time, never a link.
+shingles share at least one of the first p = n - ceil(t n) + 1 of each, in any
+common order; and l of the first p + l - 1. Shingles are ordered by what they
+are estimated to cost as candidates, which is at most how often their rarest
+word occurs in the corpus, and then by hash. A document whose first p shingles
+are still dear gets a longer prefix, and more shared shingles (l) are asked of
+it before a pair is verified. Words are counted over all documents in a table
+of hashed counters of fixed size; their error costs time, never a link.
 
 Classes that meet in a shingle are compared by bit sketches whose distance is
 at most the difference of the sets, so no link is lost. Where many survive (a
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +37,13 @@ from pyspark.sql import types as T
 from .common import map_batches, staged, text_key
 from .components import components
 
-#: log2 of the counters of shingles.
-COUNTER_BITS = 23
+#: log2 of the counters of words, and of the bits that tell shingles which more than one class has in its prefix.
+COUNTER_BITS = 22
+SEEN_BITS = 26
 BLOCK = 1 << 16
-#: A shingle is dear when its counter is above this and above four times the mean.
-DEAR = 16
+#: A shingle is dear from this class of cost on (a class doubles), and a prefix grows by this many shingles at most.
+DEAR = 5
+LONGER = 2
 TILE = 1500
 #: Surviving pairs for each member of a tile, above which a forest comes first.
 DENSE = 4
@@ -64,35 +67,45 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: str | None, size: int = 4) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles."""
+def shingle_set(text: str | None, size: int = 4, costs: np.ndarray | None = None) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of a text's shingles; with the words' ``costs``, also each shingle's cost."""
     words = (text or "").encode().lower().split()
     if not words:
-        return np.empty(0, np.uint64)
+        none = np.empty(0, np.uint64)
+        return none if costs is None else (none, np.empty(0, np.uint8))
     at = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     width = min(size, len(at))
-    h = np.full(len(at) - width + 1, width, np.uint64)
+    n = len(at) - width + 1
+    h = np.full(n, width, np.uint64)
     for k in range(width):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + at[k : len(at) - width + 1 + k])
-    return np.unique(h)
+        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + at[k : n + k])
+    if costs is None:
+        return np.unique(h)
+    own = costs[_counter(at)]
+    least = own[:n]
+    for k in range(1, width):
+        least = np.minimum(least, own[k : n + k])
+    h, first = np.unique(h, return_index=True)
+    return h, least[first]
 
 
-def prefix(shingles: np.ndarray, dear: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
-    """The shingles that meet others, the prefix's length in order of hash, and how many must be shared in it."""
+def _counter(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def prefix(shingles: np.ndarray, cost: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """A set's prefix, and how many shingles of two prefixes must be shared."""
     n = len(shingles)
     p = n - -(-percent * n // 100) + 1
-    is_dear = dear[(shingles & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)]
-    cheap = np.flatnonzero(~is_dear)
-    if len(cheap) >= p:
-        length = int(cheap[p - 1]) + 1
-        return shingles[cheap[:p]], length, length - p + 1
-    return np.concatenate([shingles[cheap], shingles[is_dear][: p - len(cheap)]]), n, n - p + 1
+    order = np.lexsort((shingles, cost))
+    more = min(LONGER, n - p, int((cost[order[:p]] >= DEAR).sum()))
+    return shingles[order[: p + more]], 1 + more
 
 
 def sketch(shingles: np.ndarray) -> bytes:
     """Parities of hashed shingles: two sketches differ in no more bits than the sets differ in members."""
     bits = 256
-    while bits < 2 * len(shingles) and bits < 4096:
+    while bits < 4 * len(shingles) and bits < 8192:
         bits *= 2
     odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -163,84 +176,146 @@ def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def dear_counters(docs: DataFrame, size: int) -> np.ndarray:
-    """Which hashed counters stand for frequent shingles; counts cover all documents."""
-    blocks, mask = 1 << (COUNTER_BITS - 16), np.uint64((1 << COUNTER_BITS) - 1)
+def _summed(df: DataFrame, blocks: int, kind: type, count, add) -> np.ndarray:
+    """Tables of ``blocks`` parts, one from each task by ``count(batches)``, added up part by part; of fixed size, so the driver gets the sum."""
+    schema = "block int, part binary"
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = count(batches)
+        if whole is not None:
+            whole = whole.reshape(blocks, -1)
+            some = np.flatnonzero(whole.any(axis=1))
+            for k in range(0, len(some), 16):
+                yield pa.RecordBatch.from_arrays([pa.array(some[k : k + 16], pa.int32()), pa.array([whole[b].tobytes() for b in some[k : k + 16]], pa.binary())], names=["block", "part"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(part.as_buffer(), kind)
+                sums[b] = add(sums[b], own) if b in sums else own.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "part"])
+
+    rows = df.mapInArrow(emit, schema).repartition(32, "block").mapInArrow(merge, schema).collect()
+    width = len(rows[0]["part"]) // np.dtype(kind).itemsize if rows else 1
+    total = np.zeros((blocks, width), kind)
+    for r in rows:
+        total[r["block"]] = np.frombuffer(r["part"], kind)
+    return total.ravel()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def word_costs(docs: DataFrame) -> np.ndarray:
+    """For each counter the log2 of how often its words occur; counts cover all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
         total = np.zeros(1 << COUNTER_BITS, np.uint32)
         held: list[np.ndarray] = []
         waiting = 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                own = (shingle_set(batch.column(0)[k].as_py(), size) & mask).astype(np.int32)
-                held.append(own)
-                waiting += len(own)
-                if waiting > 2_000_000:
+            for text in batch.column(0):
+                words = (text.as_py() or "").encode().lower().split()
+                held.append(_counter(np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))))
+                waiting += len(words)
+                if waiting > 1_000_000:
                     total += np.bincount(np.concatenate(held), minlength=len(total)).astype(np.uint32)
                     held, waiting = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total)).astype(np.uint32)
-        if total.any():
-            # A counter's share of one task stops at 255: above that the shingle is dear anyway.
-            small = np.minimum(total, 255).astype(np.uint8).reshape(blocks, BLOCK)
-            for b in range(0, blocks, 16):
-                yield pa.RecordBatch.from_arrays([pa.array(range(b, b + 16), pa.int32()), pa.array([small[k].tobytes() for k in range(b, b + 16)], pa.binary())], names=["block", "counts"])
+        return total if total.any() else None
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    add = lambda a, b: a + np.minimum(b, np.uint32(2**32 - 1) - a)
+    total = _summed(docs.select("text"), 1 << (COUNTER_BITS - 16), np.uint32, count, add)
+    if len(total) < 1 << COUNTER_BITS:
+        return np.zeros(1 << COUNTER_BITS, np.uint8)
+    return np.ceil(np.log2(total + 1.0)).astype(np.uint8)
+
+
+def _bit(tokens: np.ndarray) -> np.ndarray:
+    return (_mixed(tokens.astype(np.uint64)) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
+def seen_bits(tokens: DataFrame) -> np.ndarray:
+    """A bit for each hashed token of ``tokens`` (token)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        bits = np.zeros(1 << (SEEN_BITS - 3), np.uint8)
         for batch in batches:
-            for b, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.frombuffer(counts.as_buffer(), np.uint8)
-                sums[b] = sums[b] + own if b in sums else own.astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["block", "counts"])
-
-    schema = "block int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).repartition(32, "block").mapInArrow(add, schema).collect()  # the counters, of fixed size
-    total = np.zeros((blocks, BLOCK), np.uint32)
-    for r in rows:
-        total[r["block"]] = np.frombuffer(r["counts"], np.uint32)
-    total = total.ravel()
-    return total > max(DEAR, 4 * total.mean())
+            at = _bit(batch.column(0).to_numpy())
+            np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        return bits if bits.any() else None
 
+    found = _summed(tokens.select("token"), 1 << (SEEN_BITS - 3 - 16), np.uint8, count, np.bitwise_or)
+    return found if len(found) == 1 << (SEEN_BITS - 3) else np.zeros(1 << (SEEN_BITS - 3), np.uint8)
 
-_ROW = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
-_SET = T.StructType([T.StructField("cls", T.LongType()), T.StructField("members", T.BinaryType())])
 
+_ROW = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
+_SET = T.StructType([T.StructField("cls", T.LongType()), T.StructField("members", T.BinaryType()), T.StructField("prefix", T.BinaryType()), T.StructField("asked", T.IntegerType())])
 
-def _signatures(docs: DataFrame, dear: bytes, size: int, percent: int) -> DataFrame:
-    packed = docs.sparkSession.sparkContext.broadcast(dear)  # 2^COUNTER_BITS bits, whatever the input
+
+def _signatures(docs: DataFrame, costs: Broadcast, size: int, percent: int) -> DataFrame:
+    state = {"n": 0}
 
     def rows(part: dict[str, list]) -> dict[str, list]:
-        flags = np.unpackbits(np.frombuffer(packed.value, np.uint8)).astype(bool)
+        first = (TaskContext.get().partitionId() << 36) + state["n"]
+        state["n"] += len(part["text"])
         out: dict[str, list] = {"n": [], "cls": [], "tokens": [], "sketch": []}
         for text in part["text"]:
-            own = shingle_set(text, size)
+            own, cost = shingle_set(text, size, costs.value)
             out["n"].append(len(own))
             out["cls"].append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
-            out["tokens"].append(prefix(own, flags, percent)[0].astype(np.int64) if len(own) else [])
+            out["tokens"].append(prefix(own, cost, percent)[0].astype(np.int64) if len(own) else [])
             out["sketch"].append(sketch(own))
-        return {"doc_id": part["doc_id"], "key": part["key"], **out}
+        return {"row": list(range(first, first + len(out["n"]))), "doc_id": part["doc_id"], "key": part["key"], **out}
 
     return staged(map_batches(docs.select(F.col("doc_id").cast("long"), "text", text_key("text").alias("key")), rows, _ROW, 2048), "signatures")
 
 
+def _shared_tokens(one: DataFrame) -> DataFrame:
+    """(cls, n, token, docs) of prefix shingles that more than one class has.
+
+    A table of bits of fixed size tells most of those that one class alone has
+    before they would be shuffled again; the join is exact.
+    """
+    posted = one.select("cls", "n", F.explode("tokens").alias("token"))
+    shared = staged(posted.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1"), "shared")
+    bits = one.sparkSession.sparkContext.broadcast(seen_bits(shared))
+    schema = T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("token", T.LongType())])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(2)
+            flat = tokens.flatten().to_numpy(zero_copy_only=False)
+            whose = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().fill_null(0).to_numpy())
+            at = _bit(flat)
+            ok = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            rows = pa.array(whose[ok])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(flat[ok], pa.int64())], names=["cls", "n", "token"])
+
+    return one.select("cls", "n", "tokens").mapInArrow(keep, schema).join(shared, "token")
+
+
 def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
     """Surviving pairs (a, b) of each tile. Without ``roots``: a forest where a tile is dense, with a row (token, i, j) for it; with them, all pairs between two components."""
     rows = tiles.join(sketches, "cls")
+    root, dense_in = F.col("cls"), F.lit(None).cast("array<long>")
     if roots is not None:
-        rows = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    root = F.coalesce("root", "cls") if roots is not None else F.col("cls")
-    rows = rows.select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+        # A pair that meets in several dense tiles is told in the first of them: each class brings their shingles, at most its prefix.
+        own = tiles.groupBy("cls").agg(F.array_sort(F.collect_set("token")).alias("dense_in"))
+        rows = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").join(own, "cls")
+        root, dense_in = F.coalesce("root", "cls"), F.col("dense_in")
+    rows = rows.select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root"), dense_in.alias("dense_in")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     first = roots is None
 
     def tile(key: tuple, members: list[tuple]) -> list[tuple]:
         members = list({m[1]: m for m in members}.values())  # a class is once in a side
         if len(members) < 2:
             return []
-        side, cls, n, bits, own = map(list, zip(*members))
+        side, cls, n, bits, own, dense_in = map(list, zip(*members))
         labels = side if first else own
         pairs = survivors(cls, n, bits, labels, not first, percent)
+        if not first:
+            sets = [frozenset(d) for d in dense_in]
+            pairs = [(i, j) for i, j in pairs if min(sets[i] & sets[j]) == key[0]]
         if first and key[1] != key[2]:
             pairs = [(i, j) for i, j in pairs if side[i] != side[j]]
         dense = first and len(pairs) > DENSE * len(members)
@@ -257,7 +332,7 @@ def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percen
             return done
 
         for b in batches:
-            columns = [b.column(k).to_pylist() for k in range(8)]
+            columns = [b.column(k).to_pylist() for k in range(9)]
             for at, row in zip(zip(*columns[:3]), zip(*columns[3:])):
                 if at != key:
                     if len(members) > 1:
@@ -273,53 +348,50 @@ def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percen
     return rows.mapInArrow(run, "a long, b long, token long, i long, j long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The whole sets of the classes in ``wanted`` (doc_id, key, cls: a document of each)."""
+def _sets(docs: DataFrame, wanted: DataFrame, costs: Broadcast, size: int, percent: int) -> DataFrame:
+    """The whole sets of the classes in ``wanted`` (doc_id, key, cls: a document of each), with their prefixes."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("key"), "text")
     w = wanted.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"), "cls")
     found = texts.join(w, (texts["key"] == w["w_key"]) & texts["doc_id"].eqNullSafe(w["w_id"])).select("cls", "text")
 
     def rows(part: dict[str, list]) -> dict[str, list]:
-        return {"cls": part["cls"], "members": [shingle_set(t, size).tobytes() for t in part["text"]]}
+        made = [shingle_set(t, size, costs.value) for t in part["text"]]
+        prefixes = [prefix(own, cost, percent) for own, cost in made]
+        return {"cls": part["cls"], "members": [own.tobytes() for own, _ in made], "prefix": [p.tobytes() for p, _ in prefixes], "asked": [n for _, n in prefixes]}
 
     return staged(map_batches(found, rows, _SET).dropDuplicates(["cls"]), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, dear: bytes, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose prefixes share enough and whose sets are similar."""
-    packed = pairs.sparkSession.sparkContext.broadcast(dear)
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b")
+    x = sets.select(F.col("cls").alias("a"), F.col("members").alias("x"), F.col("prefix").alias("px"), F.col("asked").alias("ax"))
+    y = sets.select(F.col("cls").alias("b"), F.col("members").alias("y"), F.col("prefix").alias("py"), F.col("asked").alias("ay"))
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def rows(part: dict[str, list]) -> dict[str, list]:
-        flags = np.unpackbits(np.frombuffer(packed.value, np.uint8)).astype(bool)
         kept = []
-        for a, b, x, y in zip(part["a"], part["b"], part["x"], part["y"]):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            (_, lx, sx), (_, ly, sy) = prefix(x, flags, percent), prefix(y, flags, percent)
-            if len(np.intersect1d(x[:lx], y[:ly], assume_unique=True)) >= min(sx, sy):
+        for a, b, x, y, px, py, ax, ay in zip(*(part[c] for c in ("a", "b", "x", "y", "px", "py", "ax", "ay"))):
+            if len(np.intersect1d(np.frombuffer(px, np.uint64), np.frombuffer(py, np.uint64), assume_unique=True)) >= min(ax, ay):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= percent * (len(x) + len(y) - shared):
                     kept.append((a, b))
         return {"a": [k[0] for k in kept], "b": [k[1] for k in kept]}
 
-    return map_batches(both.select("a", "b", "x", "y"), rows, schema, 512)
+    return map_batches(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "px", "py", "ax", "ay"), rows, schema, 512)
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 85, tile: int = TILE) -> DataFrame:
     """One row per document: doc_id, key, n_shingles, component_id, and the document (first_id, first_key) that its component begins with."""
-    dear = np.packbits(dear_counters(docs, size)).tobytes()
-    signed = _signatures(docs, dear, size, percent)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    costs = docs.sparkSession.sparkContext.broadcast(word_costs(docs))  # 2^COUNTER_BITS bytes, whatever the input
+    signed = _signatures(docs, costs, size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "row")
     classes = staged(signed.where("n > 0").groupBy("cls").agg(F.min(order).alias("first")), "classes")
     c = classes.select("cls", F.col("first.doc_id").alias("c_id"), F.col("first.key").alias("c_key"))
-    mine = (signed["cls"] == c["cls"]) & (signed["key"] == c["c_key"]) & signed["doc_id"].eqNullSafe(c["c_id"])
-    one = staged(signed.join(c, mine, "left_semi").select("cls", "n", "tokens", "sketch").dropDuplicates(["cls"]), "one")
+    one = staged(signed.join(classes.select(F.col("first.row").alias("row")), "row", "left_semi").select("cls", "n", "tokens", "sketch"), "one")
 
-    posted = one.select("cls", "n", F.explode("tokens").alias("token"))
-    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     parts = F.ceil(F.col("docs") / tile).cast("long")
-    met = posted.join(shared, "token").withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    met = _shared_tokens(one).withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")))
     met = met.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1L)")))
     tiles = staged(met.select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "cls", "n"), "tiles")
     sketches = one.select("cls", "sketch")
@@ -330,11 +402,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 85, tile: int
     # Sets of all that can be in a pair, now or in the second round.
     seen = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(again.select("cls")).distinct()
     firsts = c.join(seen, "cls", "left_semi").select(F.col("c_id").alias("doc_id"), F.col("c_key").alias("key"), "cls")
-    sets = _sets(docs, staged(firsts, "firsts"), size)
-    links = staged(_verified(pairs, sets, dear, percent), "verified")
+    sets = _sets(docs, staged(firsts, "firsts"), costs, size, percent)
+    links = staged(_verified(pairs, sets, percent), "verified")
     roots = components(links)
     rest = staged(_meet(again, sketches, roots, percent).where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
-    more = _verified(rest.join(pairs, ["a", "b"], "left_anti"), sets, dear, percent)
+    more = _verified(rest.join(pairs, ["a", "b"], "left_anti"), sets, percent)
     roots = components(links.unionByName(more))
 
     labelled = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
