@@ -10,11 +10,12 @@ are still dear gets a longer prefix, and more shared shingles (l) are asked of
 it before a pair is verified. Words are counted over all documents in a table
 of hashed counters of fixed size; their error costs time, never a link.
 
-Classes that meet in a shingle are compared by bit sketches whose distance is
-at most the difference of the sets, so no link is lost. Where many survive (a
-group of near copies), first a spanning forest of them is verified, then those
-pairs that are still in two components. Very large meetings are cut into tiles
-of bounded size. Verification compares whole sets.
+Pairs of classes that meet in as many shingles as are asked are verified on
+their whole sets. Where many meet in one shingle, tiles of bounded size compare
+bit sketches, whose distance is at most the difference of the sets, so no link
+is lost; where many pairs survive that (a group of near copies), first a
+spanning forest of them is verified, then those pairs that are still in two
+components.
 
 Nulls: a null text is empty; a document without words links with nothing and is
 its own component. A null doc_id counts as the largest. Repeated rows are one
@@ -27,10 +28,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +44,10 @@ COUNTER_BITS = 22
 SEEN_BITS = 26
 BLOCK = 1 << 16
 #: A shingle is dear from this class of cost on (a class doubles), and a prefix grows by this many shingles at most.
-DEAR = 5
+DEAR = 2
 LONGER = 2
+#: Members of a tile from which on sketches thin out its pairs.
+CROWD = 64
 TILE = 1500
 #: Surviving pairs for each member of a tile, above which a forest comes first.
 DENSE = 4
@@ -248,7 +252,7 @@ def seen_bits(tokens: DataFrame) -> np.ndarray:
     return found if len(found) == 1 << (SEEN_BITS - 3) else np.zeros(1 << (SEEN_BITS - 3), np.uint8)
 
 
-_ROW = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
+_ROW = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("asked", T.IntegerType()), T.StructField("sketch", T.BinaryType())])
 _SET = T.StructType([T.StructField("cls", T.LongType()), T.StructField("members", T.BinaryType()), T.StructField("prefix", T.BinaryType()), T.StructField("asked", T.IntegerType())])
 
 
@@ -258,20 +262,33 @@ def _signatures(docs: DataFrame, costs: Broadcast, size: int, percent: int) -> D
     def rows(part: dict[str, list]) -> dict[str, list]:
         first = (TaskContext.get().partitionId() << 36) + state["n"]
         state["n"] += len(part["text"])
-        out: dict[str, list] = {"n": [], "cls": [], "tokens": [], "sketch": []}
+        out: dict[str, list] = {"n": [], "cls": [], "tokens": [], "asked": [], "sketch": []}
         for text in part["text"]:
             own, cost = shingle_set(text, size, costs.value)
             out["n"].append(len(own))
             out["cls"].append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
-            out["tokens"].append(prefix(own, cost, percent)[0].astype(np.int64) if len(own) else [])
+            tokens, asked = prefix(own, cost, percent) if len(own) else ([], 1)
+            out["tokens"].append(np.asarray(tokens, np.uint64).astype(np.int64))
+            out["asked"].append(asked)
             out["sketch"].append(sketch(own))
         return {"row": list(range(first, first + len(out["n"]))), "doc_id": part["doc_id"], "key": part["key"], **out}
 
     return staged(map_batches(docs.select(F.col("doc_id").cast("long"), "text", text_key("text").alias("key")), rows, _ROW, 2048), "signatures")
 
 
+def _maybe(bits: Broadcast, column: Column) -> Column:
+    """False for longs that :func:`seen_bits` surely doesn't hold."""
+
+    @F.pandas_udf("boolean")
+    def look(x: pd.Series) -> pd.Series:
+        at = _bit(x.to_numpy())
+        return pd.Series((bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return look(column)
+
+
 def _shared_tokens(one: DataFrame) -> DataFrame:
-    """(cls, n, token, docs) of prefix shingles that more than one class has.
+    """(cls, n, asked, token, docs) of prefix shingles that more than one class has.
 
     A table of bits of fixed size tells most of those that one class alone has
     before they would be shuffled again; the join is exact.
@@ -279,19 +296,69 @@ def _shared_tokens(one: DataFrame) -> DataFrame:
     posted = one.select("cls", "n", F.explode("tokens").alias("token"))
     shared = staged(posted.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1"), "shared")
     bits = one.sparkSession.sparkContext.broadcast(seen_bits(shared))
-    schema = T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("token", T.LongType())])
+    schema = T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("asked", T.IntegerType()), T.StructField("token", T.LongType())])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = batch.column(2)
+            tokens = batch.column(3)
             flat = tokens.flatten().to_numpy(zero_copy_only=False)
             whose = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().fill_null(0).to_numpy())
             at = _bit(flat)
             ok = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             rows = pa.array(whose[ok])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(flat[ok], pa.int64())], names=["cls", "n", "token"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in range(3)), pa.array(flat[ok], pa.int64())], names=["cls", "n", "asked", "token"])
+
+    return one.select("cls", "n", "asked", "tokens").mapInArrow(keep, schema).join(shared, "token")
+
+
+def _grouped(key_columns: int, tile):
+    """For ``mapInArrow`` over rows sorted by key: what ``tile(key, members)`` makes of each key's rows, in columns a, b, token, i, j, asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members, out = None, [], []
+
+        def batch() -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [[]] * 6
+            done = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "token", "i", "j", "asked"])
+            out.clear()
+            return done
+
+        for b in batches:
+            columns = [b.column(k).to_pylist() for k in range(b.num_columns)]
+            for at, row in zip(zip(*columns[:key_columns]), zip(*columns[key_columns:])):
+                if at != key:
+                    if len(members) > 1:
+                        out += tile(key, members)
+                        if len(out) > 20_000:
+                            yield batch()
+                    key, members = at, []
+                members.append(row)
+        if len(members) > 1:
+            out += tile(key, members)
+        yield batch()
 
-    return one.select("cls", "n", "tokens").mapInArrow(keep, schema).join(shared, "token")
+    return run
+
+
+_MET = "a long, b long, token long, i long, j long, asked long"
+
+
+def _small_tiles(tiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, asked) that tiles of few members allow by length; a row (token, i, j) for each that is crowded."""
+
+    def tile(key: tuple, members: list[tuple]) -> list[tuple]:
+        members = list({m[1]: m for m in members}.values())
+        if len(members) > CROWD:
+            return [(None, None, *key, None)]
+        apart, out = key[1] != key[2], []
+        for x, (side, cls, n, asked) in enumerate(members):
+            for other, cls2, n2, asked2 in members[:x]:
+                if _alike(n, n2, percent) and not (apart and side == other):
+                    out.append((min(cls, cls2), max(cls, cls2), None, None, None, min(asked, asked2)))
+        return out
+
+    rows = tiles.select("token", "i", "j", "side", "cls", "n", "asked").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(_grouped(3, tile), _MET)
 
 
 def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
@@ -319,38 +386,17 @@ def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percen
         if first and key[1] != key[2]:
             pairs = [(i, j) for i, j in pairs if side[i] != side[j]]
         dense = first and len(pairs) > DENSE * len(members)
-        out = [(cls[i], cls[j], None, None, None) for i, j in (_forest(pairs) if dense else pairs)]
-        return out + [(None, None, *key)] if dense else out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members, out = None, [], []
-
-        def batch() -> pa.RecordBatch:
-            columns = list(zip(*out)) if out else [[]] * 5
-            done = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "token", "i", "j"])
-            out.clear()
-            return done
-
-        for b in batches:
-            columns = [b.column(k).to_pylist() for k in range(9)]
-            for at, row in zip(zip(*columns[:3]), zip(*columns[3:])):
-                if at != key:
-                    if len(members) > 1:
-                        out += tile(key, members)
-                        if len(out) > 50_000:
-                            yield batch()
-                    key, members = at, []
-                members.append(row)
-        if len(members) > 1:
-            out += tile(key, members)
-        yield batch()
+        out = [(cls[i], cls[j], None, None, None, 1) for i, j in (_forest(pairs) if dense else pairs)]
+        return out + [(None, None, *key, None)] if dense else out
 
-    return rows.mapInArrow(run, "a long, b long, token long, i long, j long")
+    return rows.mapInArrow(_grouped(3, tile), _MET)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, costs: Broadcast, size: int, percent: int) -> DataFrame:
     """The whole sets of the classes in ``wanted`` (doc_id, key, cls: a document of each), with their prefixes."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("key"), "text")
+    # A table of bits keeps most other texts from being shuffled; the join is exact.
+    bits = docs.sparkSession.sparkContext.broadcast(seen_bits(wanted.select(F.col("key").alias("token"))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("key"), "text").where(_maybe(bits, F.col("key")))
     w = wanted.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"), "cls")
     found = texts.join(w, (texts["key"] == w["w_key"]) & texts["doc_id"].eqNullSafe(w["w_id"])).select("cls", "text")
 
@@ -386,19 +432,30 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 85, tile: int
     costs = docs.sparkSession.sparkContext.broadcast(word_costs(docs))  # 2^COUNTER_BITS bytes, whatever the input
     signed = _signatures(docs, costs, size, percent)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "row")
-    classes = staged(signed.where("n > 0").groupBy("cls").agg(F.min(order).alias("first")), "classes")
+    classes = staged(signed.where("n > 0").groupBy("cls").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")), "classes")
     c = classes.select("cls", F.col("first.doc_id").alias("c_id"), F.col("first.key").alias("c_key"))
-    one = staged(signed.join(classes.select(F.col("first.row").alias("row")), "row", "left_semi").select("cls", "n", "tokens", "sketch"), "one")
+    # Most classes have one document; only the documents of the others are joined to find each class's first.
+    again = staged(signed.where("n > 0").select("cls", "row").join(classes.where("copies > 1").select("cls"), "cls", "left_semi"), "again")
+    bits = docs.sparkSession.sparkContext.broadcast(seen_bits(again.select(F.col("row").alias("token"))))
+    marked = signed.where("n > 0").withColumn("maybe", _maybe(bits, F.col("row"))).select("row", "cls", "n", "tokens", "asked", "sketch", "maybe")
+    later = again.join(classes.select(F.col("first.row").alias("row")), "row", "left_anti").select("row")
+    one = marked.where("not maybe").unionByName(marked.where("maybe").join(later, "row", "left_anti")).drop("maybe", "row")
+    one = staged(one, "one")
 
     parts = F.ceil(F.col("docs") / tile).cast("long")
     met = _shared_tokens(one).withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")))
     met = met.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1L)")))
-    tiles = staged(met.select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "cls", "n"), "tiles")
+    tiles = staged(met.select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "cls", "n", "asked"), "tiles")
     sketches = one.select("cls", "sketch")
 
-    met = staged(_meet(tiles, sketches, None, percent), "met")
-    pairs = staged(met.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    again = tiles.join(met.where("a is null").select("token", "i", "j"), ["token", "i", "j"], "left_semi")
+    few = staged(_small_tiles(tiles, percent), "few")
+    enough = few.where("a is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max("asked").alias("asked")).where("met >= asked").select("a", "b")
+    # What meets in a crowded tile may meet elsewhere too; there sketches tell, not counts.
+    crowded = staged(tiles.join(few.where("a is null").select("token", "i", "j"), ["token", "i", "j"], "left_semi"), "crowded")
+    met = staged(_meet(crowded, sketches, None, percent), "met")
+    found = met.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = staged(enough.unionByName(found).distinct(), "pairs")
+    again = crowded.join(met.where("a is null").select("token", "i", "j"), ["token", "i", "j"], "left_semi")
     # Sets of all that can be in a pair, now or in the second round.
     seen = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(again.select("cls")).distinct()
     firsts = c.join(seen, "cls", "left_semi").select(F.col("c_id").alias("doc_id"), F.col("c_key").alias("key"), "cls")
