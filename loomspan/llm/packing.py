@@ -45,7 +45,7 @@ STEPS = 3000
 class WordTokenizer:
     """Ids of a vocabulary whose tokens never cross white space, with a cache of words.
 
-    ASCII and Latin words are normalised here and go to the tokenizer's own
+    Printable ASCII and Latin words are normalised here and go to the tokenizer's own
     model; all others, and those that may hold special tokens, go through the
     whole tokenizer.
     """
@@ -78,7 +78,7 @@ class WordTokenizer:
 
     def word(self, raw: bytes) -> bytes:
         text = raw.decode()
-        if "<|" in text or max(text) > "ɏ":
+        if "<|" in text or max(text) > "ɏ" or not text.isprintable():
             ids = self.packed(self.whole.encode(text, add_special_tokens=False).ids)
         else:
             ids = b"".join(map(self.piece, self.split(unicodedata.normalize("NFC", text).lower())))
