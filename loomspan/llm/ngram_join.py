@@ -51,7 +51,7 @@ CROWD = 64
 TILE = 1500
 #: Surviving pairs for each member of a tile, above which a forest comes first.
 DENSE = 4
-CACHE = 500_000
+CACHE = 200_000
 
 
 class _WordHashes(dict):
@@ -126,10 +126,10 @@ def _alike(na: int, nb: int, percent: int) -> bool:
     return 100 * min(na, nb) >= percent * max(na, nb)
 
 
-def survivors(ids: list[int], sizes: list[int], sketches: list[bytes], sides: list[int], apart: bool, percent: int) -> list[tuple[int, int]]:
-    """Index pairs that length and sketch allow; with ``apart``, only between two sides."""
+def survivors(ids: list[int], sizes: list[int], sketches: list[bytes], sides: list[int], apart: bool, percent: int) -> Iterator[tuple[int, int]]:
+    """Index pairs that length and sketch allow, one after the other; with ``apart``, only between two sides."""
     less, more = 100 - percent, 100 + percent  # sets differ in at most less / more of their summed sizes
-    m, found = len(ids), []
+    m = len(ids)
     if m <= 12:
         whole = [int.from_bytes(s, "little") for s in sketches]
         for i in range(m):
@@ -138,8 +138,8 @@ def survivors(ids: list[int], sizes: list[int], sketches: list[bytes], sides: li
                     bits = 8 * min(len(sketches[i]), len(sketches[j]))
                     a, b = (_folded(whole[k], 8 * len(sketches[k]), bits) for k in (i, j))
                     if more * (a ^ b).bit_count() <= less * (sizes[i] + sizes[j]):
-                        found.append((i, j))
-        return found
+                        yield i, j
+        return
     size, side, own = np.array(sizes), np.array(sides), np.array(ids)
     width = np.array([8 * len(s) for s in sketches])
     rows = [np.frombuffer(s, np.uint64) for s in sketches]
@@ -159,25 +159,27 @@ def survivors(ids: list[int], sizes: list[int], sketches: list[bytes], sides: li
             if len(others):
                 distance = np.bitwise_count(flat[others] ^ flat[i]).sum(axis=1)
                 for j in at[others[more * distance.astype(np.int64) <= less * (size[at[others]] + size[at[i]])]].tolist():
-                    found.append((int(at[i]), j))
-    return found
+                    yield int(at[i]), j
+
 
+class _Forest:
+    """A spanning forest of the pairs added."""
 
-def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    root: dict[int, int] = {}
+    def __init__(self):
+        self.root: dict[int, int] = {}
+        self.pairs: list[tuple[int, int]] = []
 
-    def find(x: int) -> int:
+    def _find(self, x: int) -> int:
+        root = self.root
         while (up := root.setdefault(x, x)) != x:
             root[x] = x = root[up]
         return x
 
-    kept = []
-    for i, j in pairs:
-        a, b = find(i), find(j)
+    def add(self, i: int, j: int) -> None:
+        a, b = self._find(i), self._find(j)
         if a != b:
-            root[a] = b
-            kept.append((i, j))
-    return kept
+            self.root[a] = b
+            self.pairs.append((i, j))
 
 
 def _summed(df: DataFrame, blocks: int, kind: type, count, add) -> np.ndarray:
@@ -363,14 +365,14 @@ def _small_tiles(tiles: DataFrame, percent: int) -> DataFrame:
 
 def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
     """Surviving pairs (a, b) of each tile. Without ``roots``: a forest where a tile is dense, with a row (token, i, j) for it; with them, all pairs between two components."""
-    rows = tiles.join(sketches, "cls")
+    each = sketches
     root, dense_in = F.col("cls"), F.lit(None).cast("array<long>")
     if roots is not None:
         # A pair that meets in several dense tiles is told in the first of them: each class brings their shingles, at most its prefix.
         own = tiles.groupBy("cls").agg(F.array_sort(F.collect_set("token")).alias("dense_in"))
-        rows = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").join(own, "cls")
+        each = own.join(sketches, "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         root, dense_in = F.coalesce("root", "cls"), F.col("dense_in")
-    rows = rows.select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root"), dense_in.alias("dense_in")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    rows = tiles.join(each, "cls").select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root"), dense_in.alias("dense_in")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     first = roots is None
 
     def tile(key: tuple, members: list[tuple]) -> list[tuple]:
@@ -378,15 +380,18 @@ def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percen
         if len(members) < 2:
             return []
         side, cls, n, bits, own, dense_in = map(list, zip(*members))
-        labels = side if first else own
-        pairs = survivors(cls, n, bits, labels, not first, percent)
         if not first:
             sets = [frozenset(d) for d in dense_in]
-            pairs = [(i, j) for i, j in pairs if min(sets[i] & sets[j]) == key[0]]
-        if first and key[1] != key[2]:
-            pairs = [(i, j) for i, j in pairs if side[i] != side[j]]
-        dense = first and len(pairs) > DENSE * len(members)
-        out = [(cls[i], cls[j], None, None, None, 1) for i, j in (_forest(pairs) if dense else pairs)]
+            pairs = [(i, j) for i, j in survivors(cls, n, bits, own, True, percent) if min(sets[i] & sets[j]) == key[0]]
+            return [(cls[i], cls[j], None, None, None, 1) for i, j in pairs]
+        # All pairs are held only while they are few.
+        few, forest, most = [], _Forest(), DENSE * len(members)
+        for i, j in survivors(cls, n, bits, side, key[1] != key[2], percent):
+            forest.add(i, j)
+            if len(few) <= most:
+                few.append((i, j))
+        dense = len(few) > most
+        out = [(cls[i], cls[j], None, None, None, 1) for i, j in (forest.pairs if dense else few)]
         return out + [(None, None, *key, None)] if dense else out
 
     return rows.mapInArrow(_grouped(3, tile), _MET)
