@@ -14,8 +14,8 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "3g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false").getOrCreate()
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.sql.adaptive.enabled", "false").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "3g")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
