@@ -5,12 +5,14 @@ bits. For each host (here ``source``) the distinct documents that hold a line
 are counted; exact copies of a text count as one document. A line in more than
 ``max_docs`` documents of its host is removed from all but the document that
 has it first (smallest doc_id), and a document left with too few words is
-rejected, as is one that fails the base rules.
+rejected, as is one that fails the base rules. :func:`quality_filter` gives the
+kept documents without the removed lines.
 
 Nulls: a null text has no words, so its row fails the base rule; a null source
 is a host of its own; a null doc_id is an id below all others. Empty texts and
 empty tables are fine. Repeated rows are judged alike. Extra columns are
-ignored by :func:`quality_report` and kept by :func:`quality_filter`.
+ignored by :func:`quality_report` and kept by :func:`quality_filter`; of them
+only ``n_chars`` follows a text that loses lines.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -78,6 +81,22 @@ def repeated_words(words: list[bytes], window: int) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+def line_hash(words: list[bytes]) -> int:
+    """64 bits of a normalised line, given its lower-cased words."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
+def without_lines(text: str, hashes: list[int]) -> str:
+    """``text`` without the lines whose normalised form has one of ``hashes``; other lines stay as they are."""
+    gone = set(hashes)
+
+    def stays(line: str) -> bool:
+        own = line.encode().lower().split()
+        return not own or line_hash(own) not in gone
+
+    return "\n".join(line for line in text.split("\n") if stays(line))
+
+
 def document_figures(text: str | None, window: int = 5) -> tuple[int, int, int, int, int, dict[int, int]]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and words by hash of normalised line."""
     raw = (text or "").encode()
@@ -92,7 +111,7 @@ def document_figures(text: str | None, window: int = 5) -> tuple[int, int, int,
         if own:
             twice += line in seen
             seen.add(line)
-            h = xxhash.xxh3_64_intdigest(b" ".join(own)) - (1 << 63)
+            h = line_hash(own)
             lines[h] = lines.get(h, 0) + len(own)
     return len(words), chars, symbols, twice, repeated_words(words, window), lines
 
@@ -114,8 +133,8 @@ def _figures(docs: DataFrame, rules: QualityRules) -> DataFrame:
     return staged(map_batches(narrow, rows, SCHEMA), "quality")
 
 
-def quality_report(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """One row per document: figures, ``base_failed``, ``removed_words`` (in lines over the limit) and ``kept``."""
+def _judged(docs: DataFrame, rules: QualityRules) -> DataFrame:
+    """The report and ``removed_lines``, the hashes of each row's lines over the limit (null if it has none)."""
     base = _figures(docs, rules)
     lines = base.select("row", "doc_id", "source", "key", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
         "row", "doc_id", F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("no_host"), "key", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words")
@@ -126,7 +145,7 @@ def quality_report(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
         .where(F.col("docs") > rules.max_docs)
         .select("host", "no_host", "line", F.col("first.key").alias("owner"))
     )
-    removed = lines.join(over, ["host", "no_host", "line"]).where(F.col("key") != F.col("owner")).groupBy("row").agg(F.sum("words").alias("removed_words"))
+    removed = lines.join(over, ["host", "no_host", "line"]).where(F.col("key") != F.col("owner")).groupBy("row").agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < rules.min_words) | (left < rules.min_left * F.col("n_words")))
@@ -140,9 +159,28 @@ def quality_report(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
     )
 
 
+def quality_report(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """One row per document: figures, ``base_failed``, ``removed_words`` (in lines over the limit) and ``kept``."""
+    return _judged(docs, rules).drop("removed_lines")
+
+
+def _without_lines(text: pa.Array, hashes: pa.Array) -> pa.Array:
+    return pa.array([None if h is None else without_lines(t, h) for t, h in zip(text.to_pylist(), hashes.to_pylist())], pa.string())
+
+
 def quality_filter(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    bad = quality_report(docs, rules).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("key").alias("__key")).distinct()
+    """The rows of ``docs`` that the rules keep, with all their columns, their texts without lines over the limit."""
+    judged = _judged(docs, rules).where(~F.col("kept") | F.col("removed_lines").isNotNull())
+    # Rows alike in id, source and text are judged alike: one of them stands for all.
+    marks = judged.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("key").alias("__key")).agg(F.first("kept").alias("__kept"), F.first("removed_lines").alias("__lines"))
     keyed = docs.withColumn("__text", text_key("text"))
-    same = keyed["doc_id"].cast("long").eqNullSafe(bad["__id"]) & keyed["source"].eqNullSafe(bad["__source"]) & (keyed["__text"] == bad["__key"])
-    return keyed.join(bad, same, "left_anti").drop("__text")
+    same = keyed["doc_id"].cast("long").eqNullSafe(marks["__id"]) & keyed["source"].eqNullSafe(marks["__source"]) & (keyed["__text"] == marks["__key"])
+    kept = keyed.join(marks, same, "left").where(F.coalesce("__kept", F.lit(True)))
+    # Only texts that lose lines go to Python.
+    cut = F.arrow_udf(_without_lines, "string")(F.when(F.col("__lines").isNotNull(), F.col("text")), "__lines")
+    kept = kept.withColumn("__cut", cut)
+    changed = F.col("__lines").isNotNull()
+    new = {"text": F.when(changed, F.col("__cut")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("__cut").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return kept.select(*[new[c].alias(c) if c in new else kept[c] for c in docs.columns])

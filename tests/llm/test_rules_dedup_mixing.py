@@ -61,6 +61,19 @@ def test_lines_of_many_documents_go_and_depleted_documents_with_them(spark):
     assert quality_report(df, QualityRules(max_docs=100)).where("not kept").count() == 0
 
 
+def test_kept_texts_lose_their_lines_over_the_limit(spark):
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    rows = [(k, f"Top {k}\n\n  Shared  LINE of all\n{own(k)}\nshared line\tof all\n", "h") for k in range(12)]
+    rows += [(20, rows[0][1], "h"), (21, f"shared line of all\n{own(21)}", "other"), (22, f"shared line of all\n{own(22)}", None)]
+    df = frame(spark, rows).selectExpr("*", "1 as line")
+    got = {r["doc_id"]: r for r in quality_filter(df).collect()}
+    assert len(got) == len(rows)
+    for k, text, _ in rows:
+        want = f"Top {k}\n\n{own(k)}\n" if 1 <= k < 12 else text
+        assert got[k]["text"] == want and got[k]["n_chars"] == len(want), k
+    assert quality_report(quality_filter(df)).agg({"removed_words": "sum"}).first()[0] == 0
+
+
 def test_fuse_filter():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 3, 10, 1000, 50_000):
