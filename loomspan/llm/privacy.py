@@ -126,13 +126,13 @@ def _shown(spans: Column) -> Column:
 
 
 def disclosing(found: DataFrame, docs: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, share, bits) of the terms that disclose an entity; counts cover all documents."""
+    """(entity, term, share, bits) of the terms that disclose an entity; counts cover the distinct texts of all documents."""
     beside = found.select("key", F.explode("contexts").alias("c")).select("key", "c.entity", "c.term")
     pairs = staged(beside.groupBy("entity", "term").agg(F.count_distinct("key").alias("both")).where(F.col("both") >= limits.texts), "pairs")
     mentions = found.select("key", F.explode("spans").alias("s")).select("key", "s.entity").groupBy("entity").agg(F.count_distinct("key").alias("with_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(text_key("text").alias("key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")).distinct()
     frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(pairs.select("term").distinct(), "term", "left_semi")
-    total = found.count()
+    total = found.select("key").distinct().count()
     out = pairs.join(frequency, "term").join(mentions, "entity")
     out = out.withColumn("share", F.least(F.col("both") / F.col("with_term"), F.lit(1.0))).withColumn("bits", F.log2(F.col("both") * F.lit(float(max(total, 1))) / (F.col("with_term") * F.col("with_entity"))))
     return out.where((F.col("share") >= limits.share) & (F.col("bits") >= limits.bits)).select("entity", "term", "share", "bits")

@@ -179,6 +179,14 @@ def test_disclosing_terms_and_sanitising(spark):
     assert pv.private_report(frame(spark, [])).count() == 0
 
 
+def test_copies_count_once_in_disclosure(spark):
+    rows = [(k, f"number {k}: Quibnar has the address y@example.org here") for k in range(3)] + [(k, f"filler number {k} of the address here has nothing") for k in range(100, 180)]
+    rows += [(k, rows[0][1]) for k in range(10, 50)]
+    got = {r["doc_id"]: r for r in pv.private_report(frame(spark, rows)).collect()}
+    assert {k: r["n_term"] for k, r in got.items()} == {k: int(k < 100) for k, _ in rows}
+    assert all(got[k]["spans"] == "term:10:17,email:34:47" for k in range(3))
+
+
 # Language ---------------------------------------------------------------------------
 
 
