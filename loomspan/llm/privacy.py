@@ -1,11 +1,12 @@
 """Operator 6: information-theoretic sanitisation, in DataFrame functions only.
 
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers:
-the protected entities. Terms beside their mentions are counted with them over
-the corpus. A term discloses an entity when enough distinct texts have both, a
+the protected entities. Terms are counted with them over the whole texts of the
+corpus. A term discloses an entity when enough distinct texts have both, a
 document with the term has the entity with high probability, and the two share
-much information (pointwise, in bits). Disclosing terms become spans of their
-own; :func:`sanitise` replaces base spans by their kind, generalises terms, and
+much information (pointwise, in bits). Disclosing terms become spans wherever
+they stand, in documents without the entity too; terms inside base spans are
+part of those. :func:`sanitise` replaces base spans by their kind, generalises terms, and
 removes those that all but name the entity.
 
 Nulls: a null text is empty and has no spans; rows with a null doc_id are
@@ -37,10 +38,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 JOINT = "\ue000"
 CARD = f"[0-9][0-9{JOINT}]++"
 TERM = r"\p{L}[\p{L}'’]{2,}+"
-#: Characters beside a mention whose terms count as its context.
-CONTEXT = 64
+#: Stand before and after a term to be marked.
+OPEN, SHUT = "\ue002", "\ue003"
 
 _NONE = "cast(array() as array<struct<start:int,end:int,match:string>>)"
+_NO_SPANS = "cast(array() as array<struct<start:int,rank:int,end:int,entity:string>>)"
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,7 @@ def _kept(found: Column, keep, kind: str, entity) -> Column:
 
 def base_spans(text: Column) -> Column:
     """The base spans of a text, by start and then kind: (start, rank of kind, end, entity)."""
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,entity:string>>)")
+    none = F.expr(_NO_SPANS)
     joined = F.regexp_replace(F.translate(text, JOINT, "\ue001"), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
     email = _kept(matches(text, EMAIL), None, "email", F.lower)
     ip = _kept(matches(text, IP), lambda s: F.forall(F.split(s["match"], r"\."), lambda x: F.regexp_replace(x, "^0+(?=[0-9])", "").rlike("^([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$")), "ip", lambda m: m)
@@ -102,22 +104,42 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*parts))
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """Terms beside each mention that no base span covers: (entity, term, start, end)."""
+def _plain(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of base spans, all positions as they were."""
 
-    def beside(span: Column) -> Column:
-        start = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        left = F.substr(text, start + 1, span["start"] - start)
-        right = F.substr(text, span["end"] + 1, F.lit(CONTEXT))
-        whole = F.length(right) == CONTEXT
-        # A term that the cut may have shortened doesn't count.
-        before = F.filter(matches(left, TERM), lambda m: (m["start"] > 0) | (start == 0))
-        after = F.filter(matches(right, TERM), lambda m: (m["end"] < F.length(right)) | ~whole)
-        place = lambda found, at: F.transform(found, lambda m: F.struct(span["entity"].alias("entity"), F.lower(m["match"]).alias("term"), (m["start"] + at).alias("start"), (m["end"] + at).alias("end")))
-        return F.concat(place(before, start), place(after, span["end"]))
+    def step(state: Column, s: Column) -> Column:
+        kept = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], state["at"]), F.lit(0)))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], kept, blank).alias("out"))
+
+    blanked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, blanked).otherwise(text)
+
+
+def _terms(plain: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _term_spans(plain: Column, terms: Column, remove: float) -> Column:
+    """Spans of those terms of a text that are keys of ``terms`` (term: share).
+
+    They are marked in one pass, so that only they, not all terms, are folded.
+    """
+    clean = F.translate(plain, OPEN + SHUT, "\ue001\ue001")
+    found, gaps = F.regexp_extract_all(clean, F.lit(TERM), F.lit(0)), F.split(clean, TERM, -1)
+    mark = lambda m: F.when(F.map_contains_key(terms, F.lower(m)), F.concat(F.lit(OPEN), m, F.lit(SHUT))).otherwise(m)
+    marked = F.concat(F.array_join(F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("match")), lambda p: F.concat(p["gap"], mark(p["match"]))), ""), F.element_at(gaps, -1))
+    ends = F.split(marked, SHUT, -1)
+    pairs = F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda x: F.struct(F.substring_index(x, OPEN, 1).alias("gap"), F.substring_index(x, OPEN, -1).alias("match")))
+
+    def step(state: Column, pair: Column) -> Column:
+        start = state["at"] + F.length(pair["gap"])
+        end = start + F.length(pair["match"])
+        how = F.when(F.element_at(terms, F.lower(pair["match"])) >= remove, F.lit("remove")).otherwise(F.lit("generalise"))
+        span = F.struct(start.alias("start"), F.lit(KINDS.index("term")).alias("rank"), end.alias("end"), how.alias("entity"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    found = F.flatten(F.transform(spans, beside))
-    return F.filter(found, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("out")), step, lambda s: s["out"])
 
 
 def _shown(spans: Column) -> Column:
@@ -125,32 +147,41 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["rank"] + 1), s["start"], s["end"])), ",")
 
 
-def disclosing(found: DataFrame, docs: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, share, bits) of the terms that disclose an entity; counts cover the distinct texts of all documents."""
-    beside = found.select("key", F.explode("contexts").alias("c")).select("key", "c.entity", "c.term")
-    pairs = staged(beside.groupBy("entity", "term").agg(F.count_distinct("key").alias("both")).where(F.col("both") >= limits.texts), "pairs")
-    mentions = found.select("key", F.explode("spans").alias("s")).select("key", "s.entity").groupBy("entity").agg(F.count_distinct("key").alias("with_entity"))
-    words = docs.select(text_key("text").alias("key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")).distinct()
-    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(pairs.select("term").distinct(), "term", "left_semi")
-    total = found.select("key").distinct().count()
-    out = pairs.join(frequency, "term").join(mentions, "entity")
-    out = out.withColumn("share", F.least(F.col("both") / F.col("with_term"), F.lit(1.0))).withColumn("bits", F.log2(F.col("both") * F.lit(float(max(total, 1))) / (F.col("with_term") * F.col("with_entity"))))
+def disclosing(found: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
+    """(entity, term, share, bits) of the terms that disclose an entity; counts cover the distinct texts of all documents.
+
+    Terms and entities that can't reach the limits with any partner, by their
+    own counts, are left out before pairs are made; that loses no pair.
+    """
+    one = found.dropDuplicates(["key"]).select("key", F.array_distinct(F.transform("spans", lambda s: s["entity"])).alias("entities"), "terms")
+    beside = F.sum((F.size("entities") > 0).cast("long"))
+    words = one.select("entities", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"), beside.alias("beside"))
+    words = staged(words.where((F.col("beside") >= limits.texts) & (F.col("beside") >= limits.share * F.col("with_term"))).select("term", "with_term"), "terms")
+    total = float(max(found.select("key").distinct().count(), 1))
+    holders = staged(found.where(F.size("spans") > 0).dropDuplicates(["key"]).select("key", F.array_distinct(F.transform("spans", lambda s: s["entity"])).alias("entities"), "terms"), "holders")
+    mentions = holders.select("key", F.explode("entities").alias("entity"))
+    often = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).where((F.col("with_entity") >= limits.texts) & (F.log2(total / F.col("with_entity")) >= limits.bits))
+    left = mentions.join(often, "entity")
+    right = holders.select("key", F.explode("terms").alias("term")).join(words, "term")
+    pairs = left.join(right, "key").where(F.col("with_entity") >= limits.share * F.col("with_term"))
+    out = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= limits.texts)
+    out = out.withColumn("share", F.col("both") / F.col("with_term")).withColumn("bits", F.log2(F.col("both") * F.lit(total) / (F.col("with_term") * F.col("with_entity"))))
     return out.where((F.col("share") >= limits.share) & (F.col("bits") >= limits.bits)).select("entity", "term", "share", "bits")
 
 
 def private_report(docs: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
     """One row per document: doc_id, key, counts by kind, base_sha256, spans, and ``all_spans`` for :func:`sanitise`."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text_key("text").alias("key"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    none = F.expr("cast(array() as array<struct<entity:string,term:string,start:int,end:int>>)")
-    found = staged(rows.withColumn("contexts", F.when(F.size("spans") > 0, _context(F.col("text"), F.col("spans"))).otherwise(none)).drop("text"), "private")
-    terms = disclosing(found, docs, limits)
-    held = found.where(F.size("contexts") > 0).select("doc_id", "key", F.explode(F.array_distinct("contexts")).alias("c")).select("doc_id", "key", "c.*").join(terms, ["entity", "term"])
-    span = F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("rank"), F.col("end"), F.when(F.col("share") >= limits.remove, F.lit("remove")).otherwise(F.lit("generalise")).alias("entity"))
-    added = held.groupBy("start", "end", "doc_id", "key").agg(F.max("share").alias("share")).groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(span)).alias("added"))
-    added = added.select(F.col("doc_id").alias("a_id"), F.col("key").alias("a_key"), "added")
-    out = found.drop("contexts").join(added, (F.col("key") == F.col("a_key")) & F.col("doc_id").eqNullSafe(F.col("a_id")), "left")
-    every = F.array_sort(F.concat("spans", F.coalesce("added", F.expr("cast(array() as array<struct<start:int,rank:int,end:int,entity:string>>)"))))
+    rows = docs.select("doc_id", text_key("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    spanned = rows.withColumn("spans", base_spans(F.col("text")))
+    found = staged(spanned.withColumn("plain", _plain(F.col("text"), F.col("spans"))).select("doc_id", "key", "spans", _terms(F.col("plain")).alias("terms")), "private")
+    shares = staged(disclosing(found, limits).groupBy("term").agg(F.max("share").alias("share")), "disclosing")
+    held = found.select("doc_id", "key", F.explode("terms").alias("term")).join(shares, "term")
+    held = held.groupBy("doc_id", "key").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("held")).select(F.col("doc_id").alias("a_id"), F.col("key").alias("a_key"), "held")
+    own = (F.col("key") == F.col("a_key")) & F.col("doc_id").eqNullSafe(F.col("a_id"))
+    texts = rows.join(held, own).dropDuplicates(["a_id", "a_key"]).withColumn("plain", _plain(F.col("text"), base_spans(F.col("text"))))
+    added = texts.select("a_id", "a_key", _term_spans(F.col("plain"), F.col("held"), limits.remove).alias("added"))
+    out = found.drop("terms").join(added, own, "left")
+    every = F.array_sort(F.concat("spans", F.coalesce("added", F.expr(_NO_SPANS))))
     out = out.withColumn("all_spans", every)
     number = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return out.select("doc_id", "key", *[number(k) for k in range(4)], F.sha2(_shown(F.col("spans")), 256).alias("base_sha256"), _shown(F.col("all_spans")).alias("spans"), F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_term"), "all_spans")

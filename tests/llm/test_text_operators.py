@@ -187,6 +187,25 @@ def test_copies_count_once_in_disclosure(spark):
     assert all(got[k]["spans"] == "term:10:17,email:34:47" for k in range(3))
 
 
+def test_disclosing_terms_are_found_in_whole_texts(spark):
+    far = "words that say nothing at all, " * 5
+    rows = [(k, f"mail y@example.org {far}ask for Quibnar") for k in range(4)] + [(k, f"number {k}: mail {far}ask for nothing") for k in range(100, 180)]
+    rows = [(k, f"number {k}: {t}" if k < 4 else t) for k, t in rows] + [(200, "QUIBNAR, İ alone; a@Quibnar.net 🙂 quibnar's Quibnar"), (201, "only q@example.org once by Vexo")]
+    df = frame(spark, rows)
+    got = {r["doc_id"]: r for r in pv.private_report(df).collect()}
+    assert all(got[k]["n_term"] == 1 for k in range(4))
+    t = rows[84][1]
+    at, mail = t.rindex("Quibnar"), t.index("a@")
+    assert got[200]["spans"] == f"term:0:7,email:{mail}:{mail + 13},term:{at}:{at + 7}"
+    assert got[150]["n_term"] == 0
+    clean = {r["doc_id"]: r["text"] for r in pv.sanitise(df).collect()}
+    assert clean[200] == "[TERM], İ alone; [EMAIL] 🙂 quibnar's [TERM]" and "Quibnar" not in clean[0]
+    # With a lower limit, an entity in one text is judged as well.
+    single = {r["doc_id"]: r for r in pv.private_report(df, pv.Disclosure(texts=1)).collect()}
+    t = rows[85][1]
+    assert f"term:{t.index('Vexo')}:{t.index('Vexo') + 4}" in single[201]["spans"]
+
+
 # Language ---------------------------------------------------------------------------
 
 
