@@ -34,8 +34,8 @@ from .common import map_batches
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math object canvas audio video head title textarea select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var del wbr img".split())
+RAW = frozenset("script style template iframe noembed noframes head title textarea".split())
+INLINE = frozenset("math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics svg g text tspan object canvas audio video noscript a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var del wbr img".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
@@ -48,7 +48,7 @@ _SPLIT = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Word stems in class, id and role, by what they say.
 HINTS = {
-    "menu": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc tabs skip toolbar sitemap".split(),
+    "menu": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc tabs skip toolbar sitemap share sharing social print tools".split(),
     "head": "header masthead topbar banner branding logo hero".split(),
     "foot": "footer copyright colophon legal bottom credits".split(),
     "side": "sidebar side aside rail widget widgets related recommended recommendations popular trending teaser secondary complementary also".split(),
@@ -56,12 +56,12 @@ HINTS = {
     "ad": "ad ads advert adverts advertisement sponsor sponsored promo promotion adsense banner affiliate".split(),
     "form": "form search login signup subscribe subscription newsletter register contact input".split(),
     "talk": "comment comments reply replies respond response discussion disqus thread review reviews feedback".split(),
-    "meta": "share sharing social byline author meta tags tag date timestamp rating print tools".split(),
+    "meta": "byline author meta tags tag date timestamp rating".split(),
     "body": "article content main post entry story body text page prose copy markdown blog hentry".split(),
 }
 _HINT = {w: k for k, words in HINTS.items() for w in words}
 TAGS = {
-    "nav": "menu", "menu": "menu", "header": "head", "footer": "foot", "aside": "side", "dialog": "note", "form": "form", "button": "form", "fieldset": "form", "article": "article", "main": "main",
+    "nav": "menu", "menu": "menu", "header": "head", "footer": "foot", "aside": "side", "dialog": "note", "form": "form", "button": "form", "fieldset": "form", "select": "form", "article": "article", "main": "main",
     "p": "p", "blockquote": "p", "pre": "p", "h1": "h", "h2": "h", "h3": "h", "h4": "h", "h5": "h", "h6": "h", "ul": "list", "ol": "list", "dl": "list", "li": "item", "dd": "item", "dt": "item", "table": "table", "td": "cell", "th": "cell", "section": "section", "figure": "figure", "figcaption": "figure", "div": "div", "body": "top", "html": "top",
 }
 FEATURES = ["bias", *sorted({f"tag:{v}" for v in TAGS.values()} | {"tag:other"}), *[f"name:{k}" for k in HINTS], "links:some", "links:most", "text:none", "text:short", "text:long", "text:stops", "hidden"]
@@ -84,13 +84,14 @@ class Node:
 
 
 def parse(page: str | None) -> list[Node]:
-    """The page's block elements, parents before children; raw elements are left out with all that is in them."""
+    """The page's block elements, parents before children; raw elements are left out with all that is in them, of one without an end tag only the start tag."""
     nodes = [Node("html")]
     stack: list[tuple[str, int]] = [("html", 0)]  # all open elements, with the block each belongs to
     buffer: list[str] = []
     page = page or ""
     place = at = 0
     links = 0
+    endless: set[str] = set()  # raw tags that no end tag follows any more
 
     def flush(block: int) -> None:
         nonlocal place
@@ -141,13 +142,15 @@ def parse(page: str | None) -> list[Node]:
             tag, given = found[2].lower(), found[3]
             if tag in RAW:
                 if not given.endswith("/"):
-                    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                    end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                    if not end:
+                        endless.add(tag)
                     if tag == "head":  # as far as the body, even if it isn't closed
                         body = re.compile(r"<body\b", re.I).search(page, at)
                         at = min(end.end() if end else size, body.start() if body else size)
                         at = at if end or body else found.end()
                     else:
-                        at = end.end() if end else size
+                        at = end.end() if end else at
                 continue
             if tag in VOID:
                 if tag in ("br", "hr"):
@@ -330,6 +333,9 @@ def layout_pages(n: int = 150, seed: int = 5) -> list[tuple[str, set[str]]]:
                 return rng.choice([f'<form action="/x"><label>{words(2)}</label><input><p>{sentence(2, 6)}</p><button>{words(1)}</button></form>', f"<div {how}><form><p>{text()}</p></form></div>"])
             if kind == "talk":
                 return f"<{(t := rng.choice(['section', 'div']))} {how}><h3>{words(1)}</h3>" + "".join(f'<{rng.choice(["div", "article", "li"])} class="{rng.choice(HINTS["talk"])}"><p>{text()}</p></div>' for _ in range(rng.randint(1, 4))) + f"</{t}>"
+            if kind == "meta":  # who wrote an article, when, and what about: part of it
+                items = "".join(f'<li><a href="/{words(1)}">{keep(words(rng.randint(1, 3)))}</a></li>' for _ in range(rng.randint(1, 5)))
+                return rng.choice([f"<div {how}>{keep(words(rng.randint(2, 6)))}</div>", f"<p {how}>{keep(words(rng.randint(2, 6)))}</p>", f"<div {how}><p>{keep(text())}</p></div>", f"<ul {how}>{items}</ul>", f"<div {how}><ul>{items}</ul></div>"])
             return rng.choice([f"<div {how}>{text()}</div>", f"<div {how}><p>{text()}</p></div>", f"<section {how}><p>{text()}</p></section>"])
 
         def paragraph() -> str:

@@ -68,6 +68,21 @@ def test_extraction(spark):
     assert ex.extract(pages).count() == 5 and ex.extract(pages.limit(0)).count() == 0
 
 
+def test_no_text_is_cut_before_the_model():
+    model = ex.default_model()
+    one, two = "A first paragraph, which is long enough to count.", "A second paragraph, which is also long enough."
+    for tag in ("video", "object", "svg", "math", "canvas", "audio", "select", "noscript", "textarea", "script"):
+        page = f"<html><body><article><h1>Title</h1><p>{one}</p><{tag} id=x><p>{two}</p></article></body></html>"
+        assert ex.main_text(page, model) == f"Title {one} {two}", tag
+    inner = "<object data=a><object data=b>inner</object> outer</object> and <math><mi>x</mi><mo>+</mo><mn>1</mn></math>"
+    assert ex.main_text(f"<article><h1>Title</h1><p>{one} {inner}</p><script>var x;</script><p>{two}</p></article>", model) == f"Title {one} inner outer and x+1 {two}"
+    assert len(ex.parse("<script>" * 20_000 + "end")) == 1  # linear work
+    for name in ("byline", "author", "date", "rating"):
+        assert ex.main_text(f'<nav><ul><li><a href=x>Home</a></li></ul></nav><article><h1>Title</h1><div class="{name}">By Some One, May 2020</div><p>{one}</p><p>{two}</p></article>', model) == f"Title By Some One, May 2020 {one} {two}", name
+    tags = '<ul class="tags"><li><a href=x>green tea</a></li><li><a href=y>pots</a></li></ul>'
+    assert ex.main_text(f"<article><h1>Title</h1><p>{one}</p><p>{two}</p>{tags}</article>", model).endswith(f"{two} green tea pots")
+
+
 # Scoring ----------------------------------------------------------------------------
 
 
