@@ -121,6 +121,13 @@ def test_scores_and_base(spark):
     assert sc.score(frame(spark, [])).count() == 0
 
 
+def test_counts_are_summed_whole(spark):
+    rows = [(k, "ab" * 100 + ("ac" if k % 10 == 0 else "ab")) for k in range(200)]
+    one, code = sc.train(frame(spark, rows).repartition(1))
+    many, same = sc.train(frame(spark, rows).repartition(6))
+    assert np.array_equal(code[0], same[0]) and np.array_equal(one, many)
+
+
 # Sharding ---------------------------------------------------------------------------
 
 
