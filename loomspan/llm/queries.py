@@ -51,7 +51,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .privacy import private_report
 
-    return private_report(table(spark, sf_dir, "documents")).drop("key", "all_spans")
+    return private_report(table(spark, sf_dir, "documents"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,14 +111,16 @@ w AS (SELECT r, {_WORDS.format(t="t")} AS ws FROM d),
 win AS (SELECT r, i, array_to_string(ws[i : i + 4], ' ') AS k FROM w, unnest(range(1, len(ws) - 3)) AS u(i) WHERE len(ws) >= 5),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM win) WHERE c > 1),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS v(p) GROUP BY r),
-l AS (SELECT r, l FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^ 	-]')),
+l AS (SELECT r, l FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^ 	-
+]')),
 dup AS (SELECT r, sum(c - 1) AS n FROM (SELECT r, l, count(*) AS c FROM l GROUP BY r, l) GROUP BY r),
 words AS (SELECT r, {_WORDS.format(t="translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM l),
 own AS (SELECT r, array_to_string(ws, ' ') AS line, sum(len(ws)) AS n FROM words GROUP BY r, line),
 held AS (SELECT own.*, d.source, d.doc_id, d.t FROM own JOIN d USING (r)),
 over_ AS (SELECT source, line, arg_min(t, doc_id) AS owner FROM held GROUP BY source, line HAVING count(DISTINCT t) > 10),
 gone AS (SELECT h.r, sum(h.n) AS n FROM held h JOIN over_ o ON h.source IS NOT DISTINCT FROM o.source AND h.line = o.line WHERE h.t <> o.owner GROUP BY h.r),
-f AS (SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(d.t, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+f AS (SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(d.t, '[ 	-
+]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
   FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r)),
 j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
