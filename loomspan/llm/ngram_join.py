@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, staged, text_key
+from .common import FORGET, as_rows, map_batches, small_batches, staged, text_key, tidied
 from .components import components
 
 #: log2 of the counters of words, and of the bits that tell shingles which more than one class has in its prefix.
@@ -51,7 +51,8 @@ CROWD = 64
 TILE = 1500
 #: Surviving pairs for each member of a tile, above which a forest comes first.
 DENSE = 4
-CACHE = 200_000
+#: Words whose hashes a worker holds; a full cache is emptied, and any when a task ends.
+CACHE = 60_000
 
 
 class _WordHashes(dict):
@@ -63,6 +64,7 @@ class _WordHashes(dict):
 
 
 _words = _WordHashes()
+FORGET.append(_words.clear)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -202,7 +204,8 @@ def _summed(df: DataFrame, blocks: int, kind: type, count, add) -> np.ndarray:
                 sums[b] = add(sums[b], own) if b in sums else own.copy()
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "part"])
 
-    rows = df.mapInArrow(emit, schema).repartition(32, "block").mapInArrow(merge, schema).collect()
+    small_batches(df.sparkSession)
+    rows = df.mapInArrow(tidied(emit), schema).repartition(32, "block").mapInArrow(tidied(merge), schema).collect()
     width = len(rows[0]["part"]) // np.dtype(kind).itemsize if rows else 1
     total = np.zeros((blocks, width), kind)
     for r in rows:
@@ -310,7 +313,7 @@ def _shared_tokens(one: DataFrame) -> DataFrame:
             rows = pa.array(whose[ok])
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in range(3)), pa.array(flat[ok], pa.int64())], names=["cls", "n", "asked", "token"])
 
-    return one.select("cls", "n", "asked", "tokens").mapInArrow(keep, schema).join(shared, "token")
+    return one.select("cls", "n", "asked", "tokens").mapInArrow(tidied(keep), schema).join(shared, "token")
 
 
 def _grouped(key_columns: int, tile):
@@ -339,7 +342,7 @@ def _grouped(key_columns: int, tile):
             out += tile(key, members)
         yield batch()
 
-    return run
+    return tidied(run)
 
 
 _MET = "a long, b long, token long, i long, j long, asked long"
@@ -368,21 +371,21 @@ def _meet(tiles: DataFrame, sketches: DataFrame, roots: DataFrame | None, percen
     each = sketches
     root, dense_in = F.col("cls"), F.lit(None).cast("array<long>")
     if roots is not None:
-        # A pair that meets in several dense tiles is told in the first of them: each class brings their shingles, at most its prefix.
-        own = tiles.groupBy("cls").agg(F.array_sort(F.collect_set("token")).alias("dense_in"))
+        # A pair that meets in several dense tiles is told in the first of them: each class brings its own, at most so many as its prefix has in parts.
+        own = tiles.groupBy("cls").agg(F.array_sort(F.collect_set(F.xxhash64("token", "i", "j"))).alias("dense_in"))
         each = own.join(sketches, "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         root, dense_in = F.coalesce("root", "cls"), F.col("dense_in")
-    rows = tiles.join(each, "cls").select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root"), dense_in.alias("dense_in")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    rows = tiles.join(each, "cls").select("token", "i", "j", "side", "cls", "n", "sketch", root.alias("root"), dense_in.alias("dense_in"), F.xxhash64("token", "i", "j").alias("own")).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     first = roots is None
 
     def tile(key: tuple, members: list[tuple]) -> list[tuple]:
         members = list({m[1]: m for m in members}.values())  # a class is once in a side
         if len(members) < 2:
             return []
-        side, cls, n, bits, own, dense_in = map(list, zip(*members))
+        side, cls, n, bits, own, dense_in, here = map(list, zip(*members))
         if not first:
             sets = [frozenset(d) for d in dense_in]
-            pairs = [(i, j) for i, j in survivors(cls, n, bits, own, True, percent) if min(sets[i] & sets[j]) == key[0]]
+            pairs = [(i, j) for i, j in survivors(cls, n, bits, own, True, percent) if min(sets[i] & sets[j]) == here[0]]
             return [(cls[i], cls[j], None, None, None, 1) for i, j in pairs]
         # All pairs are held only while they are few.
         few, forest, most = [], _Forest(), DENSE * len(members)
@@ -484,7 +487,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 85, tile: int
 def near_filter(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that begin their component, with all their columns."""
     kept = near_duplicates(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key")))
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    keyed = docs.withColumn("__text", text_key("text"))
-    same = keyed["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (keyed["__text"] == kept["__key"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"]).drop("__text")
+    kept = kept.select("doc_id", "key").distinct()
+    rows = as_rows(docs).withColumns({"id": F.col("row")["doc_id"].cast("long"), "text_key": text_key("row.text")})
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["text_key"] == kept["key"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_key"]).select("row.*")

@@ -28,14 +28,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, salted_rank, staged, text_key
+from .common import FORGET, map_batches, salted_rank, staged, text_key
 
 LENGTH = 2048
 UNIT = 16
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Entries of a tokenizer's caches; a full cache is emptied.
-CACHE = 400_000
+#: Bytes of each of a tokenizer's two caches, about; a full cache is emptied, and both when a task ends.
+CACHE_BYTES = 12 << 20
+#: Bytes that an entry takes beside its key and ids.
+ENTRY = 170
 #: The linear program stops within this share of its lower bound.
 GAP = 0.002
 #: Steps of the simplex method, at most; any step's patterns are a valid cover.
@@ -55,14 +57,19 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.forget()
+        FORGET.append(self.forget)
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         # Byte-level vocabularies write bytes as visible characters: printable Latin-1 as it is, the rest from 256 on.
         seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in set(seen)]
         self.letters = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
+    def forget(self) -> None:
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.held = [0, 0]
+
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
@@ -70,10 +77,12 @@ class WordTokenizer:
     def piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) >= CACHE:
+            if self.held[1] > CACHE_BYTES:
                 self.pieces.clear()
+                self.held[1] = 0
             shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
             found = self.pieces[piece] = self.packed([t.id for t in self.model.tokenize(shown)])
+            self.held[1] += ENTRY + len(piece) + len(found)
         return found
 
     def word(self, raw: bytes) -> bytes:
@@ -84,12 +93,14 @@ class WordTokenizer:
             ids = b"".join(map(self.piece, self.split(unicodedata.normalize("NFC", text).lower())))
         if len(raw) < 64:
             self.words[raw] = ids
+            self.held[0] += ENTRY + len(raw) + len(ids)
         return ids
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        if len(self.words) >= CACHE:
+        if self.held[0] > CACHE_BYTES:
             self.words.clear()
+            self.held[0] = 0
         get, word = self.words.get, self.word
         return b"".join([i if (i := get(w)) is not None else word(w) for w in text.encode().split()])
 
