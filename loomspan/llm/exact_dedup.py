@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import fuse
-from .common import SPACES, staged
+from .common import SPACES, as_rows, staged
 
 #: Digests in a bucket, at most about: bounds a filter and the task that builds it.
 BUCKET_KEYS = 500_000
@@ -109,11 +109,11 @@ def dedup_report(docs: DataFrame, batch: Column | None = None) -> DataFrame:
 
 def dedup_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one per distinct text, with all their columns."""
-    kept = dedup_report(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("text_chars").alias("__chars"))
-    with_digest = docs.withColumn("__digest", F.sha2(normal_text(F.col("text")), 256)).withColumn("__length", F.length(F.coalesce("text", F.lit(""))))
-    same = with_digest["doc_id"].eqNullSafe(kept["__id"]) & (with_digest["__digest"] == kept["__sha"]) & (with_digest["__length"] == kept["__chars"])
-    joined = with_digest.join(kept, same, "left_semi")
-    return joined.dropDuplicates(["doc_id", "__digest", "__length"]).drop("__digest", "__length")
+    kept = dedup_report(docs).where("kept").select("doc_id", F.col("text_sha256").alias("sha"), F.col("text_chars").alias("chars"))
+    text = F.col("row")["text"]
+    rows = as_rows(docs).withColumns({"id": F.col("row")["doc_id"], "digest": F.sha2(normal_text(text), 256), "length": F.length(F.coalesce(text, F.lit("")))})
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["digest"] == kept["sha"]) & (rows["length"] == kept["chars"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "digest", "length"]).select("row.*")
 
 
 def add_snapshot(docs: DataFrame, path: str, version: int, known: list[str] | None = None) -> DataFrame:

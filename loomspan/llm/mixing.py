@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, staged, text_key
+from .common import SPACES, as_rows, staged, text_key
 
 #: Rows in a range of keys, about.
 RANGE_ROWS = 4_000
@@ -108,14 +108,13 @@ def mix_report(docs: DataFrame, seed: int = 17, share: float = 1.5, weights: tup
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns."""
-    took = mix_report(docs, **options).where("copies > 0").groupBy("doc_id", "source", "key").agg(F.sum("copies").alias("__sum"), F.count(F.lit(1)).alias("__same"))
-    took = took.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("key").alias("__key"), "__sum", "__same")
-    keyed = docs.withColumn("__text", text_key("text"))
-    same = keyed["doc_id"].eqNullSafe(took["__id"]) & keyed["source"].eqNullSafe(took["__source"]) & (keyed["__text"] == took["__key"])
-    joined = keyed.join(took, same)
+    took = mix_report(docs, **options).where("copies > 0").groupBy("doc_id", "source", "key").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("same"))
+    rows = as_rows(docs).withColumns({"id": F.col("row")["doc_id"], "from": F.col("row")["source"], "text_key": text_key("row.text")})
+    alike = rows["id"].eqNullSafe(took["doc_id"]) & rows["from"].eqNullSafe(took["source"]) & (rows["text_key"] == took["key"])
+    joined = rows.join(took, alike)
     # Repeated rows share their copies evenly, the rest goes to whichever comes first.
-    at = F.row_number().over(Window.partitionBy("doc_id", "__source", "__key").orderBy(F.lit(0))) - 1
-    base = F.floor(F.col("__sum") / F.col("__same"))
-    times = F.when(F.col("__same") == 1, F.col("__sum")).otherwise(base + F.when(at < F.col("__sum") % F.col("__same"), 1).otherwise(0))
-    out = joined.withColumn("__times", times.cast("int"))
-    return out.withColumn("__copy", F.explode(F.expr("if(__times > 0, sequence(1, __times), array())"))).select(*docs.columns)
+    at = F.row_number().over(Window.partitionBy("id", "from", "text_key").orderBy(F.lit(0))) - 1
+    base = F.floor(F.col("all") / F.col("same"))
+    times = F.when(F.col("same") == 1, F.col("all")).otherwise(base + F.when(at < F.col("all") % F.col("same"), 1).otherwise(0))
+    out = joined.withColumn("times", times.cast("int"))
+    return out.withColumn("copy", F.explode(F.expr("if(times > 0, sequence(1, times), array())"))).select("row.*")

@@ -3,9 +3,8 @@
 Lines are normalised (A-Z lowered, white space collapsed) and hashed to 64
 bits. For each host (here ``source``) the distinct documents that hold a line
 are counted; exact copies of a text count as one document. A line in more than
-``max_docs`` documents of its host is removed from all but the document that
-has it first (smallest doc_id), and a document left with too few words is
-rejected, as is one that fails the base rules. :func:`quality_filter` gives the
+``max_docs`` documents of its host is removed from all of them, and a document
+left with too few words is rejected, as is one that fails the base rules. :func:`quality_filter` gives the
 kept documents without the removed lines.
 
 Nulls: a null text has no words, so its row fails the base rule; a null source
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, staged, text_key
+from .common import as_rows, map_batches, staged, text_key
 
 SYMBOLS = b"#*$%&|<>"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
@@ -141,11 +140,11 @@ def _judged(docs: DataFrame, rules: QualityRules) -> DataFrame:
     )
     over = (
         lines.groupBy("host", "no_host", "line")
-        .agg(F.count_distinct("key").alias("docs"), F.min(F.struct("doc_id", "key")).alias("first"))
+        .agg(F.count_distinct("key").alias("docs"))
         .where(F.col("docs") > rules.max_docs)
-        .select("host", "no_host", "line", F.col("first.key").alias("owner"))
+        .select("host", "no_host", "line")
     )
-    removed = lines.join(over, ["host", "no_host", "line"]).where(F.col("key") != F.col("owner")).groupBy("row").agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
+    removed = lines.join(over, ["host", "no_host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < rules.min_words) | (left < rules.min_left * F.col("n_words")))
@@ -172,15 +171,14 @@ def quality_filter(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
     """The rows of ``docs`` that the rules keep, with all their columns, their texts without lines over the limit."""
     judged = _judged(docs, rules).where(~F.col("kept") | F.col("removed_lines").isNotNull())
     # Rows alike in id, source and text are judged alike: one of them stands for all.
-    marks = judged.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("key").alias("__key")).agg(F.first("kept").alias("__kept"), F.first("removed_lines").alias("__lines"))
-    keyed = docs.withColumn("__text", text_key("text"))
-    same = keyed["doc_id"].cast("long").eqNullSafe(marks["__id"]) & keyed["source"].eqNullSafe(marks["__source"]) & (keyed["__text"] == marks["__key"])
-    kept = keyed.join(marks, same, "left").where(F.coalesce("__kept", F.lit(True)))
+    marks = judged.groupBy("doc_id", "source", "key").agg(F.first("kept").alias("kept"), F.first("removed_lines").alias("gone"))
+    rows = as_rows(docs).withColumns({"id": F.col("row")["doc_id"].cast("long"), "from": F.col("row")["source"].cast("string"), "text_key": text_key("row.text")})
+    same = rows["id"].eqNullSafe(marks["doc_id"]) & rows["from"].eqNullSafe(marks["source"]) & (rows["text_key"] == marks["key"])
+    kept = rows.join(marks, same, "left").where(F.coalesce("kept", F.lit(True)))
     # Only texts that lose lines go to Python.
-    cut = F.arrow_udf(_without_lines, "string")(F.when(F.col("__lines").isNotNull(), F.col("text")), "__lines")
-    kept = kept.withColumn("__cut", cut)
-    changed = F.col("__lines").isNotNull()
-    new = {"text": F.when(changed, F.col("__cut")).otherwise(F.col("text"))}
+    changed = F.col("gone").isNotNull()
+    kept = kept.withColumn("cut", F.arrow_udf(_without_lines, "string")(F.when(changed, F.col("row")["text"]), "gone"))
+    new = {"text": F.when(changed, F.col("cut")).otherwise(F.col("row")["text"])}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("__cut").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return kept.select(*[new[c].alias(c) if c in new else kept[c] for c in docs.columns])
+        new["n_chars"] = F.when(changed, F.length("cut").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
+    return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

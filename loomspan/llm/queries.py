@@ -117,8 +117,8 @@ dup AS (SELECT r, sum(c - 1) AS n FROM (SELECT r, l, count(*) AS c FROM l GROUP
 words AS (SELECT r, {_WORDS.format(t="translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM l),
 own AS (SELECT r, array_to_string(ws, ' ') AS line, sum(len(ws)) AS n FROM words GROUP BY r, line),
 held AS (SELECT own.*, d.source, d.doc_id, d.t FROM own JOIN d USING (r)),
-over_ AS (SELECT source, line, arg_min(t, doc_id) AS owner FROM held GROUP BY source, line HAVING count(DISTINCT t) > 10),
-gone AS (SELECT h.r, sum(h.n) AS n FROM held h JOIN over_ o ON h.source IS NOT DISTINCT FROM o.source AND h.line = o.line WHERE h.t <> o.owner GROUP BY h.r),
+over_ AS (SELECT source, line FROM held GROUP BY source, line HAVING count(DISTINCT t) > 10),
+gone AS (SELECT h.r, sum(h.n) AS n FROM held h JOIN over_ o ON h.source IS NOT DISTINCT FROM o.source AND h.line = o.line GROUP BY h.r),
 f AS (SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(d.t, '[ 	-
 ]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
