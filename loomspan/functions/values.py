@@ -63,7 +63,7 @@ def normalize(v: Column, want: Column, default_language: str = "en") -> Column:
         .when(plain & (want == "quantity") & x.rlike(NUMBER), _typed("literal", x, F.lit(XSD + "decimal"), none))
         .when(plain & (want == "time") & x.rlike(YEAR), _typed("literal", x, F.lit(XSD + "gYear"), none))
         .when(plain & (want == "time") & valid_date, _typed("literal", x, F.lit(XSD + "date"), none))
-        .when((want == "monolingualtext") & (plain | (has == "string")), in_default)
+        .when((want == "monolingualtext") & (v["kind"] == "literal"), in_default)
     )
     reason = F.concat(F.coalesce(has, F.lit("plain value")), F.lit(" does not fit "), F.coalesce(want, F.lit("no datatype")))
     return F.struct(value.alias("value"), F.when(value.isNull(), reason).alias("reject"))

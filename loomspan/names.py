@@ -18,6 +18,7 @@ RDFS = "http://www.w3.org/2000/01/rdf-schema#"
 SKOS = "http://www.w3.org/2004/02/skos/core#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
 RML = "http://semweb.mmlab.be/ns/rml#"
+RR = "http://www.w3.org/ns/r2rml#"
 QL = "http://semweb.mmlab.be/ns/ql#"
 MAPPING_BASE = "urn:mapping"
 

@@ -1,23 +1,28 @@
-"""A plan over its sources: one pass over each source makes all rows that need no join.
+"""A plan over its sources: one pass over each source makes all rows of a kind that need no join.
 
-A row fans out by one explode of an array of structs, not by a union of a scan
-per statement map. Parent joins have a select each.
+A row fans out by one explode into (map, the source columns that the map uses),
+not by a union of a scan per statement map. Those narrow rows are made distinct
+before templates spell them out as IRIs. Where different source rows can't spell
+the same output row, which types and templates tell, that is all; else the output
+is made distinct once more. Parent joins have a select each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import values
-from ..functions.terms import field, template
+from ..functions.terms import UnknownField, field, field_path, template
 from ..names import ITEM, ITEM_ID, NA_VALUES, PROPERTY, PROPERTY_ID, REFERENCE_NODE, STATEMENT
 from ..plans.compiler import encode
 from ..plans.ir import EntitySpec, MappingBlock, Plan, Source, Template, ValueSpec
+from ..scratch import empty
 from ..sources.readers import load
 
 TYPES = "iri string, class_iri string"
@@ -62,11 +67,51 @@ def value_column(df: DataFrame, spec: ValueSpec, na: Iterable[str] = NA_VALUES)
     return values.iri(F.lit(spec.text)) if spec.entity is not None else values.literal(F.lit(spec.text), spec.datatype, spec.language)
 
 
+@dataclass
+class _Map:
+    """What makes one row of ``table`` from a source row: the templates and fields it uses, and the row as a struct of columns of a frame."""
+
+    table: str
+    templates: list[Template]
+    make: Callable[[DataFrame], Column]
+    #: Rows of maps with other marks differ, whatever the data.
+    mark: tuple
+
+    @property
+    def fields(self) -> list[str]:
+        return list(dict.fromkeys(f for t in self.templates for f in t.fields))
+
+
+def _value_template(spec: ValueSpec) -> Template:
+    """The template whose text the value's text follows."""
+    if spec.kind == "reference":
+        return Template("{" + spec.text + "}")
+    if spec.kind == "template":
+        return Template(spec.text)
+    return spec.entity.key if spec.kind == "entity" else Template("")
+
+
+def _one_to_one(text: Template, kinds: dict[str, T.DataType]) -> bool:
+    """Whether different fields always give different text: all but the last are whole numbers or dates, set apart by other characters."""
+    parts = text.parts
+    at = [k for k, (_, is_field) in enumerate(parts) if is_field]
+    for k in at[:-1]:
+        apart = k + 1 < len(parts) and not parts[k + 1][1] and not parts[k + 1][0][0] in "0123456789-"
+        if not apart or not isinstance(kinds.get(parts[k][0]), (T.IntegralType, T.DateType)):
+            return False
+    return True
+
+
+KEYS = {"types": ("iri",), "property_decls": ("iri",), "terms": ("iri", "value"), "statements": ("stmt_iri", "subject_iri", "value.lex"), "qualifiers": ("stmt_iri", "value.lex"), "ref_snaks": ("stmt_iri", "ref_iri", "value.lex")}
+
+
 class _Builder:
     def __init__(self, spark: SparkSession, plan: Plan, root: str, tables: dict[str, DataFrame] | None, na: Iterable[str]):
         self.spark, self.plan, self.root, self.tables, self.na = spark, plan, root, tables, tuple(na)
         self.frames: dict[Source, DataFrame] = {}
         self.out: dict[str, list[DataFrame]] = {k: [] for k in SCHEMAS}
+        self.marks: dict[str, list[tuple]] = {k: [] for k in SCHEMAS}
+        self.distinct = dict.fromkeys(SCHEMAS, True)  # different narrow rows make different rows
 
     def frame(self, source: Source) -> DataFrame:
         if source not in self.frames:
@@ -86,48 +131,86 @@ class _Builder:
         # Spark sends the parent to all tasks when its size allows, and shuffles both sides when it doesn't.
         return left.join(right, cond, "inner")
 
-    def add(self, name: str, df: DataFrame, rows: list[Column], keep) -> None:
-        if rows:
-            self.out[name].append(df.select(F.explode(F.filter(F.array(*rows), keep)).alias("x")).select("x.*"))
+    def add(self, name: str, df: DataFrame, maps: list[_Map], *more: str) -> None:
+        """Rows of the table ``name`` by ``maps`` over one frame; ``more``: columns that they use beside fields."""
+        if not maps:
+            return
+        kinds: dict[str, T.DataType] = {}
+        whole = True  # no map uses a part of a column
+        used: list[list[str]] = []
+        for m in maps:
+            own = list(more)
+            for f in m.fields:
+                try:
+                    path, kind = field_path(df.schema, f)
+                except UnknownField:
+                    continue
+                kinds[f] = kind
+                whole &= len(path) == 1
+                own.append(path[0])
+            used.append(list(dict.fromkeys(own)))
+        columns = list(dict.fromkeys(c for own in used for c in own))
+        quoted = lambda c: F.col(f"`{c}`")
+        has_map = any("map<" in df.schema[c].dataType.simpleString() for c in columns)  # maps can't be compared
+        if has_map:
+            rows = [m.make(df) for m in maps]
+            out = df.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+        elif len(maps) == 1:
+            narrow = df.select(*[quoted(c) for c in columns]).distinct() if columns else df.select(F.lit(0).alias("__m")).distinct()
+            out = narrow.select(maps[0].make(narrow).alias("x")).select("x.*")
+        else:
+            rows = [F.struct(F.lit(k).alias("__m"), *[(quoted(c) if c in own else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in columns]) for k, own in enumerate(used)]
+            narrow = df.select(F.explode(F.array(*rows)).alias("x")).select("x.*").distinct()
+            x = reduce(lambda case, k: case.when(F.col("__m") == k, maps[k].make(narrow)), range(1, len(maps)), F.when(F.col("__m") == 0, maps[0].make(narrow)))
+            out = narrow.select(x.alias("x")).select("x.*")
+        self.out[name].append(out.where(" and ".join(f"{c} is not null" for c in KEYS[name])))
+        self.marks[name] += [m.mark for m in maps]
+        self.distinct[name] &= not has_map and whole and all(_one_to_one(t, kinds) for m in maps for t in m.templates)
 
     def source(self, source: Source, blocks: list[MappingBlock]) -> None:
         df = self.frame(source)
-        types, decls, terms, statements, qualifiers, snaks = [], [], [], [], [], []
-        joined: list[tuple[str, DataFrame, Column]] = []
+        maps: dict[str, list[_Map]] = {k: [] for k in SCHEMAS}
+        joined: list[tuple[DataFrame, _Map]] = []
+        na = self.na
         for b in blocks:
-            iri = entity_iri(df, b.entity, self.na)
-            types += [F.struct(iri.alias("iri"), F.lit(c).alias("class_iri")) for c in b.entity.classes]
+            iri = lambda d, b=b: entity_iri(d, b.entity, na)
+            key = b.entity.explicit_id or b.entity.template
+            maps["types"] += [_Map("types", [key], lambda d, c=c, iri=iri: F.struct(iri(d).alias("iri"), F.lit(c).alias("class_iri")), (b.name, c)) for c in b.entity.classes]
             if b.entity.kind == "property" and b.entity.property_type:
-                decls.append(F.struct(iri.alias("iri"), F.lit(b.entity.property_type).alias("property_type")))
+                maps["property_decls"].append(_Map("property_decls", [key], lambda d, b=b, iri=iri: F.struct(iri(d).alias("iri"), F.lit(b.entity.property_type).alias("property_type")), (b.name,)))
             for t in b.terms:
-                v = value_column(df, t.value, self.na)
-                terms.append(F.struct(iri.alias("iri"), F.lit(t.kind).alias("kind"), v["lang"].alias("lang"), v["lex"].alias("value")))
+
+                def term(d: DataFrame, t=t, iri=iri) -> Column:
+                    v = value_column(d, t.value, na)
+                    return F.struct(iri(d).alias("iri"), F.lit(t.kind).alias("kind"), v["lang"].alias("lang"), v["lex"].alias("value"))
+
+                maps["terms"].append(_Map("terms", [key, _value_template(t.value)], term, (b.name, t.kind, t.value.language)))
             for s in b.statements:
-                name = template(df, s.name(b.entity), True, self.na)
-                stmt = F.concat(F.lit(STATEMENT), name).alias("stmt_iri")
-                prop = F.lit(s.property.iri).alias("prop_iri")
+                text = s.name(b.entity)
+                name = lambda d, text=text: template(d, text, True, na)
+                stmt = lambda d, name=name: F.concat(F.lit(STATEMENT), name(d)).alias("stmt_iri")
 
-                def statement(v: Column, iri: Column = iri, stmt: Column = stmt, prop: Column = prop, s=s) -> Column:
-                    return F.struct(stmt, iri.alias("subject_iri"), prop, v.alias("value"), F.lit(s.rank).alias("rank"), F.lit(s.stat_id).alias("stat_id"))
+                def statement(d: DataFrame, v: Column, iri=iri, stmt=stmt, s=s) -> Column:
+                    return F.struct(stmt(d), iri(d).alias("subject_iri"), F.lit(s.property.iri).alias("prop_iri"), v.alias("value"), F.lit(s.rank).alias("rank"), F.lit(s.stat_id).alias("stat_id"))
 
-                def qualifier(v: Column, q, stmt: Column = stmt) -> Column:
-                    return F.struct(stmt, F.lit(q.property.iri).alias("prop_iri"), v.alias("value"))
+                def qualifier(d: DataFrame, v: Column, q: Snak, stmt=stmt) -> Column:
+                    return F.struct(stmt(d), F.lit(q.property.iri).alias("prop_iri"), v.alias("value"))
 
-                def snak(v: Column, k: int, r, stmt: Column = stmt, name: Column = name) -> Column:
-                    return F.struct(stmt, F.concat(F.lit(REFERENCE_NODE), name, F.lit(f"_{k}")).alias("ref_iri"), F.lit(k).alias("ref_id"), F.lit(r.property.iri).alias("prop_iri"), v.alias("value"))
+                def snak(d: DataFrame, v: Column, k: int, r: Snak, stmt=stmt, name=name) -> Column:
+                    return F.struct(stmt(d), F.concat(F.lit(REFERENCE_NODE), name(d), F.lit(f"_{k}")).alias("ref_iri"), F.lit(k).alias("ref_id"), F.lit(r.property.iri).alias("prop_iri"), v.alias("value"))
 
-                for table, rows, spec, make in [("statements", statements, s.value, statement)] + [("qualifiers", qualifiers, q.value, lambda v, q=q, f=qualifier: f(v, q)) for q in s.qualifiers] + [("ref_snaks", snaks, r.value, lambda v, k=k, r=r, f=snak: f(v, k, r)) for k, records in s.references for r in records]:
+                wanted = [("statements", s.value, statement, (s.stat_id,))]
+                wanted += [("qualifiers", q.value, lambda d, v, q=q, f=qualifier: f(d, v, q), (s.stat_id, q.property.iri)) for q in s.qualifiers]
+                wanted += [("ref_snaks", r.value, lambda d, v, k=k, r=r, f=snak: f(d, v, k, r), (s.stat_id, k, r.property.iri)) for k, records in s.references for r in records]
+                for table, spec, make, mark in wanted:
                     if spec.kind == "parent":
-                        joined.append((table, self.parent(df, spec), make(values.iri(F.col("__parent")))))
+                        joined.append((self.parent(df, spec), _Map(table, [text, key], lambda d, make=make: make(d, values.iri(F.col("__parent"))), mark)))
                     else:
-                        rows.append(make(value_column(df, spec, self.na)))
-        has = lambda *names: lambda x: reduce(lambda a, b: a & b, [x[n].isNotNull() for n in names])
-        valued = lambda *names: lambda x: has(*names)(x) & x["value"]["lex"].isNotNull()
-        keeps = {"types": has("iri"), "property_decls": has("iri"), "terms": has("iri", "value"), "statements": valued("stmt_iri", "subject_iri"), "qualifiers": valued("stmt_iri"), "ref_snaks": valued("stmt_iri", "ref_iri")}
-        for name, rows in (("types", types), ("property_decls", decls), ("terms", terms), ("statements", statements), ("qualifiers", qualifiers), ("ref_snaks", snaks)):
-            self.add(name, df, rows, keeps[name])
-        for name, frame, row in joined:
-            self.add(name, frame, [row], keeps[name])
+                        maps[table].append(_Map(table, [text, key, _value_template(spec)], lambda d, make=make, spec=spec: make(d, value_column(d, spec, na)), mark))
+        for table, own in maps.items():
+            self.add(table, df, own)
+        for frame, m in joined:
+            self.add(m.table, frame, [m], "__parent")
 
     def rows(self) -> Rows:
         sources: dict[Source, list[MappingBlock]] = {}
@@ -137,8 +220,13 @@ class _Builder:
             self.source(source, blocks)
         made = {}
         for name, schema in SCHEMAS.items():
-            empty = self.spark.createDataFrame([], schema)
-            made[name] = reduce(DataFrame.unionByName, self.out[name], empty).distinct() if self.out[name] else empty
+            if not self.out[name]:
+                made[name] = empty(self.spark, schema)
+                continue
+            whole = reduce(DataFrame.unionByName, self.out[name]).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)])
+            marks = self.marks[name]
+            apart = len(marks) == 1 or name in ("statements", "qualifiers", "ref_snaks") and len(set(marks)) == len(marks)
+            made[name] = whole if apart and self.distinct[name] else whole.distinct()
         return Rows(**made)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import quote
 
 from ..names import ITEM, ITEM_ID, MAPPING_BASE, PROPERTY, PROPERTY_ID, PROPERTY_TYPES, RANKS, RDF, RML
-from ..sources.turtle import Graph, Iri, Literal, Term, parse_turtle
+from ..sources.turtle import Blank, Graph, Iri, Literal, Term, parse_turtle
 from .ir import Declaration, EntitySpec, MappingBlock, Plan, PropertyRef, Snak, Source, StatementMap, Template, TermMap, ValueSpec
 
 TYPE = RDF + "type"
@@ -69,7 +69,7 @@ class Compiler:
             self.problems.append("a logical source has neither rml:source nor rml:query")
             return Source("json")
         text = path.text if isinstance(path, Literal) else path.value
-        kind = "csv" if text.lower().endswith(".csv") else "parquet" if text.lower().endswith(".parquet") else "json" if "." in text.rsplit("/", 1)[-1] else "table"
+        kind = "csv" if text.lower().endswith((".csv", ".tsv")) else "parquet" if text.lower().endswith(".parquet") else "json" if "." in text.rsplit("/", 1)[-1] else "table"
         return Source(kind, text, iterator.text if iterator else "")
 
     def class_iri(self, node: Term) -> str:
@@ -244,11 +244,104 @@ def schema_graph(plan: Plan) -> Graph:
     return graph
 
 
+def plan_graph(plan: Plan) -> Graph:
+    """The plan's blocks as RML: a triples map each, with a predicate-object map for every term, statement, qualifier and snak."""
+    from ..names import QUALIFIER, RDFS, REFERENCE, REFERENCE_NODE, RR, SKOS, STATEMENT
+
+    graph, count = Graph(), 0
+
+    def node() -> Blank:
+        nonlocal count
+        count += 1
+        return Blank(f"n{count}")
+
+    def put(s: Term, p: str, o: Term | str | None) -> None:
+        if o is not None:
+            graph.add(s, Iri(p), Literal(o) if isinstance(o, str) else o)
+
+    def text_map(s: Term, text: str, prefix: str = "") -> None:
+        put(s, RR + ("template" if "{" in text else "constant"), Literal(prefix + text) if "{" in text else Iri(prefix + encode(text)))
+
+    def entity_map(s: Term, e: EntitySpec) -> None:
+        prefix = (ITEM_ID if e.kind == "item" else PROPERTY_ID) if e.explicit_id is not None else ITEM if e.kind == "item" else PROPERTY
+        text_map(s, (e.explicit_id or e.template).text, prefix)
+
+    def value_map(v: ValueSpec) -> Term:
+        m = node()
+        if v.kind == "reference":
+            put(m, RML + "reference", v.text)
+        elif v.kind == "template":
+            put(m, RR + "template", v.text)
+            put(m, RR + "termType", Iri(RR + "Literal"))
+        elif v.kind == "entity":
+            entity_map(m, v.entity)
+        elif v.kind == "parent":
+            put(m, RR + "parentTriplesMap", Iri(v.parent))
+            for child, parent in v.conditions:
+                put(m, RR + "joinCondition", c := node())
+                put(c, RR + "child", child)
+                put(c, RR + "parent", parent)
+        else:
+            put(m, RR + "constant", Iri(v.text) if v.entity is not None else Literal(v.text))
+        put(m, RR + "datatype", Iri(v.datatype) if v.datatype else None)
+        put(m, RR + "language", v.language)
+        return m
+
+    def pair(s: Term, predicate: str, o: Term) -> None:
+        put(s, RR + "predicateObjectMap", m := node())
+        put(m, RR + "predicate", Iri(predicate))
+        put(m, RR + "objectMap", o)
+
+    def constant(iri: str) -> Term:
+        put(m := node(), RR + "constant", Iri(iri))
+        return m
+
+    def triples_map(name: str, source: Source) -> Term:
+        put(t := Iri(name), TYPE, Iri(RR + "TriplesMap"))
+        put(t, RML + "logicalSource", at := node())
+        for p, x in (("source", source.path), ("iterator", source.iterator), ("query", source.query)):
+            put(at, RML + p, x or None)
+        return t
+
+    terms = {"label": RDFS + "label", "description": RDFS + "comment", "alias": SKOS + "altLabel"}
+    for b in plan.blocks:
+        t = triples_map(b.name, b.source)
+        put(t, RR + "subjectMap", s := node())
+        entity_map(s, b.entity)
+        for c in b.entity.classes:
+            put(s, RR + "class", Iri(c))
+        for x in b.terms:
+            pair(t, terms[x.kind], value_map(x.value))
+        for x in b.statements:
+            own = triples_map(f"{b.name}/statement/{x.stat_id}", b.source)
+            text = x.name(b.entity).text
+            put(own, RR + "subjectMap", m := node())
+            text_map(m, text, STATEMENT)
+            subject = node()
+            entity_map(subject, b.entity)
+            pair(own, STATEMENT + "subject", subject)
+            pair(own, STATEMENT + "property", constant(x.property.iri))
+            pair(own, STATEMENT + "value", value_map(x.value))
+            pair(own, STATEMENT + "rank", constant(STATEMENT + x.rank))
+            for q in x.qualifiers:
+                pair(own, QUALIFIER + q.property.iri.removeprefix(PROPERTY), value_map(q.value))
+            for k, records in x.references:
+                ref = triples_map(f"{b.name}/statement/{x.stat_id}/reference/{k}", b.source)
+                put(ref, RR + "subjectMap", m := node())
+                text_map(m, f"{text}_{k}", REFERENCE_NODE)
+                for r in records:
+                    pair(ref, REFERENCE + r.property.iri.removeprefix(PROPERTY), value_map(r.value))
+    return graph
+
+
 def strip_mapping(graph: Graph) -> Graph:
-    """The graph without the mapping's own blocks, declarations and what hangs below them."""
+    """The graph without the vocabulary's edges, all that hangs on blank nodes below them, and the types of blocks, classes and properties."""
     v = vocabulary_of(graph)
-    roots = {s for s, p, o in graph.triples if p.value.startswith(v) or p.value == TYPE and isinstance(o, Iri) and o.value.startswith(v)}
-    return graph.without(graph.reachable(roots))
+    kinds = {Iri(v + name) for name in ("Class", "Property", "StatementsMap")}
+    own = [(s, p, o) for s, p, o in graph.triples if p.value.startswith(v)]
+    below = graph.reachable({o for _, _, o in own if isinstance(o, Blank)})
+    gone = {*own, *((s, p, o) for s, p, o in graph.triples if s in below or p.value == TYPE and o in kinds)}
+    return Graph([t for t in graph.triples if t not in gone])
 
 
-__all__ = ["MappingError", "compile_mapping", "encode", "schema_graph", "strip_mapping", "vocabulary_of"]
+__all__ = ["MappingError", "compile_mapping", "encode", "plan_graph", "schema_graph", "strip_mapping", "vocabulary_of"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.ir import Source
@@ -18,13 +18,22 @@ _LATERAL = re.compile(r",\s*unnest\s*\(\s*([^()]+?)\s*\)\s*(?:AS\s+)?(\w+)\s*\(\
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array or one JSON value; the elements of a top-level array are rows."""
-    return spark.read.option("multiLine", True).json(path)
+    """A JSON array or one JSON value; the elements of a top-level array are rows.
+
+    Such a file is one task. Large sources are lines of JSON, ``*.jsonl`` or ``*.ndjson``, which are split.
+    """
+    by_line = re.search(r"\.(jsonl|ndjson)(\.\w+)?/?$", path, re.I)
+    return spark.read.option("multiLine", not by_line).json(path)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; quoted cells may hold line breaks, doubled quotes and a byte-order mark comes off."""
-    return spark.read.options(header=True, multiLine=True, escape='"', encoding="UTF-8").csv(path)
+    """CSV with a header; quoted cells may hold line breaks, doubled quotes and a byte-order mark comes off.
+
+    Cells with line breaks make a file one task. A large source has none and is ``*.tsv`` (tab-separated) or ``*.lines.csv``, which are split.
+    """
+    tabs = bool(re.search(r"\.tsv(\.\w+)?/?$", path, re.I))
+    by_line = tabs or bool(re.search(r"\.lines\.csv(\.\w+)?/?$", path, re.I))
+    return spark.read.options(header=True, multiLine=not by_line, escape='"', encoding="UTF-8", sep="\t" if tabs else ",").csv(path)
 
 
 def translate_sql(spark: SparkSession, query: str, root: str = "") -> str:
@@ -84,9 +93,15 @@ def load(spark: SparkSession, source: Source, root: str = "", tables: dict[str,
 _TRIPLE = r"^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(.*\S)\s*\.\s*$"
 
 
-def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """(s, p, o): o is STRUCT<kind, lex, datatype, lang>; lines that begin with neither < nor _: fail with their number."""
-    lines = check_ntriples(spark.read.text(path))
+class MalformedLine(ValueError):
+    """A line of N-Triples that begins with neither < nor _:."""
+
+
+def read_ntriples(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
+    """(s, p, o): o is STRUCT<kind, lex, datatype, lang>. ``check``: the file's first malformed line raises, with its number."""
+    if check:
+        check_ntriples(spark, path)
+    lines = spark.read.text(path)
     part = lambda k: F.regexp_extract("value", _TRIPLE, k)
     rows = lines.where(F.trim("value") != "").select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"))
     plain = lambda x: F.regexp_replace(x, "^<|>$", "")
@@ -99,19 +114,26 @@ def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(plain(F.col("s")).alias("s"), "p", value.alias("o"))
 
 
-def check_ntriples(lines: DataFrame) -> DataFrame:
-    """``lines`` (value), failing when it is read on a line that begins with neither < nor _:."""
-    own = F.ltrim("value")
-    ok = (own == "") | own.startswith("<") | own.startswith("_:")
-    message = F.concat(F.lit("not a triple: "), F.substring("value", 1, 80))
-    return lines.select(F.when(ok, F.col("value")).otherwise(F.raise_error(message)).alias("value"))
+def check_ntriples(spark: SparkSession, path: str) -> None:
+    first = bad_lines(spark, path).orderBy("file", "line").limit(1).collect()
+    if first:
+        raise MalformedLine(f"malformed N-Triples line {first[0]['line']}: {first[0]['value'][:200].rstrip()}")
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, value) of the lines that are no triples; line numbers count from 1 in the file's order."""
-    numbered = spark.read.text(path).withColumn("line", F.monotonically_increasing_id() + 1)
+    """(file, line, value) of the lines that are no triples; lines count from 1 in each file, however it is split.
+
+    Each split's lines are counted; what lies ahead of it in its file tells
+    where its numbers begin.
+    """
+    at = ["file", "block"]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     own = F.ltrim("value")
-    return numbered.where((own != "") & ~own.startswith("<") & ~own.startswith("_:")).select("line", "value")
+    bad = lines.where((own != "") & ~own.startswith("<") & ~own.startswith("_:"))
+    sizes = lines.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    return bad.join(sizes, at).select("file", (F.col("ahead") + F.col("id") - F.col("first") + 1).alias("line"), "value")
 
 
 def escape(x):

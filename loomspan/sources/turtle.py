@@ -64,9 +64,6 @@ class Graph:
                 todo += [o for _, o in self._of.get(at, []) if isinstance(o, Blank)]
         return seen
 
-    def without(self, nodes: set[Term]) -> Graph:
-        return Graph(t for t in self.triples if t[0] not in nodes)
-
 
 _TOKEN = re.compile(
     r"""(?P<skip>\s+|\#[^\n]*)
