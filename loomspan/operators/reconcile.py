@@ -1,21 +1,24 @@
 """Finding or creating entities, set by set.
 
 One at a time, an entity would be looked up in the cache, searched by label,
-and else created, visible to the next. As sets: known ids join; search keys
-join the store's labels and aliases; what is left groups by key, the least IRI
-of a key standing for all of them; and new ids are numbered in order of IRI.
+and else created, its names visible to the next. As sets: known ids join; search
+keys join the store's labels and aliases and those of the run's own entities,
+until no entity finds a lesser one any more, whatever their order; entities that
+the store would refuse, because label and description are taken, are the one that
+has them. What is left is new, and numbered in order of IRI.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import clean_text, iri_suffix, normalize_text
 from ..names import ITEM, ITEM_ID, PROPERTY, PROPERTY_ID
-from ..scratch import written
+from ..scratch import empty, written
 from .store import Store
 
 REJECTS = "stage string, key string, reason string, severity string"
@@ -83,8 +86,7 @@ def term_conflicts(terms: DataFrame) -> DataFrame:
 def with_fallback_labels(iris: DataFrame, terms: DataFrame, default: str) -> DataFrame:
     """``terms`` and, for each of ``iris`` without any label, its key as a label in the default language."""
     bare = iris.join(terms.where("kind = 'label'").select("iri"), "iri", "left_anti")
-    text = F.url_decode(iri_suffix(F.col("iri"), ITEM, PROPERTY))
-    return terms.unionByName(bare.select("iri", F.lit("label").alias("kind"), F.lit(default).alias("lang"), text.alias("value")))
+    return terms.unionByName(bare.select("iri", F.lit("label").alias("kind"), F.lit(default).alias("lang"), iri_suffix(F.col("iri"), ITEM, PROPERTY).alias("value")))
 
 
 def search_keys(terms: DataFrame, default: str) -> DataFrame:
@@ -119,73 +121,89 @@ class Resolution:
     created: DataFrame
 
 
+#: How entities compare: those that have an id by its number, before new ones by the IRI that leads them.
+_WHO = "struct<new:boolean,number:bigint,lead:string>"
+
+
+def _names(terms: DataFrame) -> DataFrame:
+    """(iri, lang, key) of all labels and aliases."""
+    return terms.where(F.col("kind").isin("label", "alias")).select("iri", "lang", F.lower(F.trim("value")).alias("key")).distinct()
+
+
+def _taken_names(terms: DataFrame, who: str, kind: str) -> DataFrame:
+    """(``who``, lang, label, about) that only one entity may have: the label, of items with the description."""
+    label = terms.where("kind = 'label'").select(who, "lang", F.col("value").alias("label"))
+    if kind == "property":
+        return label.withColumn("about", F.lit(""))
+    return label.join(terms.where("kind = 'description'").select(who, "lang", F.col("value").alias("about")), [who, "lang"])
+
+
 def resolve(entities: DataFrame, terms: DataFrame, lookup: DataFrame, store: Store, kind: str, default: str = "en", search: bool = True) -> Resolution:
-    """Ids for ``entities`` (iri, datatype): cached, else found by label, else one new id per search key.
+    """Ids for ``entities`` (iri, datatype): cached, else found by label, else one new id for all that mean one entity.
 
-    Without ``search`` an entity takes over an existing id only if its label
-    (and for items its description) in some language is taken, as the store
-    would refuse a second one.
+    Without ``search``, or where it finds none, an entity takes over an id if its
+    label (and for items its description) in some language is taken, as the
+    store would refuse a second one.
     """
     known = entities.join(lookup.where(F.col("kind") == kind).select("iri", "id", F.col("datatype").alias("cached")), "iri", "left")
     if kind == "property":
         wrong = known.where((F.col("cached") != F.col("datatype")))
         demand_none(wrong.select(F.col("iri").alias("key"), F.concat(F.lit("is "), F.col("cached"), F.lit(" in the cache, not "), F.col("datatype")).alias("reason")), "datatypes")
-    cached = known.where("id is not null").select("iri", "id", F.coalesce("datatype", "cached").alias("datatype"))
-    open_ = known.where("id is null").select("iri", "datatype")
-    keys = search_keys(terms, default).join(open_, "iri")
-    if kind == "property" and search:
-        anything = search_matches(keys, store, kind).select("iri")
-        fitting = search_matches(keys, store, kind, True)
-        demand_none(anything.join(fitting, "iri", "left_anti").select(F.col("iri").alias("key"), F.lit("its label belongs to a property of another datatype").alias("reason")), "properties")
-        hits = fitting
-    elif search:
-        hits = search_matches(keys, store, kind)
-    else:
-        hits = taken(terms.join(open_, "iri", "left_semi"), store, kind)
-    hits = hits.select("iri", "id")
-    rest = open_.join(hits, "iri", "left_anti")
-    # Those with one search key are one entity: the least IRI stands for it.
+    none = F.lit(None).cast("string")
+    number = lambda x: F.struct(F.lit(False).alias("new"), id_number(x).alias("number"), none.alias("lead")).cast(_WHO)
+    self_ = F.struct(F.lit(True).alias("new"), F.lit(None).cast("long").alias("number"), F.col("iri").alias("lead")).cast(_WHO)
+    known = known.select("iri", F.coalesce("datatype", "cached").alias("datatype"), F.col("id").isNotNull().alias("cached"), F.when(F.col("id").isNotNull(), number(F.col("id"))).otherwise(self_).alias("who"))
+    keys = search_keys(terms, default).join(known.where("not cached").select("iri", "datatype"), "iri")
     if search:
-        lead = keys.join(rest.select("iri"), "iri", "left_semi").groupBy("lang", "key").agg(F.min("iri").alias("leader"))
-        led = keys.join(lead, ["lang", "key"]).select("iri", "leader")
-    else:
-        led = rest.select("iri", F.col("iri").alias("leader"))
-    rest = rest.join(led, "iri", "left").withColumn("leader", F.coalesce("leader", "iri"))
+        hits = search_matches(keys, store, kind, kind == "property")
+        if kind == "property":
+            anything = search_matches(keys, store, kind).select("iri")
+            demand_none(anything.join(hits, "iri", "left_anti").select(F.col("iri").alias("key"), F.lit("its label belongs to a property of another datatype").alias("reason")), "properties")
+        known = known.join(hits.select("iri", F.col("id").alias("hit")), "iri", "left").withColumn("who", F.when(F.col("hit").isNotNull(), number(F.col("hit"))).otherwise(F.col("who"))).drop("hit")
+    own = terms.join(entities.select("iri"), "iri", "left_semi")
+    mine = _taken_names(own, "iri", kind)
+    theirs = _taken_names(store.terms.join(store.entities.where(F.col("kind") == kind).select("id"), "id", "left_semi"), "id", kind)
+    refused = mine.join(theirs, ["lang", "label", "about"]).groupBy("iri").agg(F.min_by("id", id_number(F.col("id"))).alias("other"))
+    known = known.join(refused, "iri", "left").withColumn("who", F.when(F.col("who.new") & F.col("other").isNotNull(), number(F.col("other"))).otherwise(F.col("who"))).drop("other")
+    now = written(known, "who")
+    if now.where("not cached").isEmpty():
+        return Resolution(now.select("iri", F.concat(F.lit("Q" if kind == "item" else "P"), F.col("who.number").cast("string")).alias("id"), F.lit(kind).alias("kind"), "datatype"), empty(now.sparkSession, "id string, kind string, datatype string"))
+    names = _names(own)
+    while True:
+        nearer = [now.join(mine, "iri").groupBy("lang", "label", "about").agg(F.min("who").alias("least")).join(mine, ["lang", "label", "about"]).select("iri", "least")]
+        if search:
+            same = ["datatype"] if kind == "property" else []
+            least = now.join(names, "iri").groupBy("lang", "key", *same).agg(F.min("who").alias("least"))
+            nearer.append(keys.join(least, ["lang", "key", *same]).select("iri", "least"))
+        best = reduce(DataFrame.unionByName, nearer).groupBy("iri").agg(F.min("least").alias("least"))
+        then = now.join(best, "iri", "left").withColumn("moves", ~F.col("cached") & F.coalesce(F.col("least") < F.col("who"), F.lit(False)))
+        if then.where("moves").isEmpty():
+            break
+        now = written(then.withColumn("who", F.when(F.col("moves"), F.col("least")).otherwise(F.col("who"))).drop("least", "moves"), "who")
     letter = "Q" if kind == "item" else "P"
     last = store.entities.where(F.col("kind") == kind).agg(F.coalesce(F.max(id_number(F.col("id"))), F.lit(0)).alias("n")).first()["n"]
-    numbered = dense_numbers(rest.select("leader").distinct(), "leader", "number")
-    created = numbered.select("leader", F.concat(F.lit(letter), (F.col("number") + last).cast("string")).alias("id"))
-    fresh = rest.join(created, "leader")
-    new = fresh.groupBy("id").agg(F.min("datatype").alias("datatype"))
-    ids = cached.unionByName(open_.join(hits, "iri").select("iri", "id", "datatype")).unionByName(fresh.select("iri", "id", "datatype"))
-    ids = written(ids.select("iri", "id", F.lit(kind).alias("kind"), "datatype"), "ids")
-    return Resolution(ids, written(new.select("id", F.lit(kind).alias("kind"), "datatype"), "created"))
-
-
-def taken(terms: DataFrame, store: Store, kind: str) -> DataFrame:
-    """(iri, id) where the store has an entity with the same label and, for items, the same description in a language."""
-    pick = lambda df, k: df.where(F.col("kind") == k)
-    mine = pick(terms, "label").select("iri", "lang", F.col("value").alias("label"))
-    theirs = pick(store.terms, "label").join(store.entities.where(F.col("kind") == kind).select("id"), "id", "left_semi").select("id", "lang", F.col("value").alias("label"))
-    if kind == "item":
-        mine = mine.join(pick(terms, "description").select("iri", "lang", F.col("value").alias("about")), ["iri", "lang"])
-        theirs = theirs.join(pick(store.terms, "description").select("id", "lang", F.col("value").alias("about")), ["id", "lang"])
-        hits = mine.join(theirs, ["lang", "label", "about"])
-    else:
-        hits = mine.join(theirs, ["lang", "label"])
-    return hits.groupBy("iri").agg(F.min_by("id", id_number(F.col("id"))).alias("id"))
+    numbered = dense_numbers(now.where("who.new").select(F.col("who.lead").alias("lead")).distinct(), "lead", "n")
+    ids = now.select("iri", "datatype", "who.number", "who.lead").join(numbered, "lead", "left")
+    ids = written(ids.select("iri", F.concat(F.lit(letter), F.coalesce("number", F.col("n") + last).cast("string")).alias("id"), F.lit(kind).alias("kind"), "datatype", F.col("n").isNotNull().alias("fresh")), "ids")
+    new = ids.where("fresh").groupBy("id").agg(F.min("datatype").alias("datatype"))
+    return Resolution(ids.drop("fresh"), written(new.select("id", F.lit(kind).alias("kind"), "datatype"), "created"))
+
+
+def direct_id_problems(found: DataFrame, store: Store) -> DataFrame:
+    """(key, reason) for rows (iri, kind, id) whose id has a wrong form, doesn't exist, or is a property's without a datatype."""
+    form = F.when(F.col("kind") == "item", F.col("id").rlike("^Q[0-9]+$")).otherwise(F.col("id").rlike("^P[0-9]+$"))
+    joined = found.join(store.entities.select("id", F.col("kind").alias("has"), "datatype"), "id", "left")
+    bare = (F.col("kind") == "property") & F.col("datatype").isNull()
+    reason = F.when(~form, "is no id").when(F.col("has").isNull() | (F.col("has") != F.col("kind")), "does not exist").when(bare, "has no datatype")
+    return joined.select(F.col("iri").alias("key"), reason.alias("reason")).where("reason is not null")
 
 
 def direct_ids(iris: DataFrame, store: Store) -> DataFrame:
     """Lookup rows for IRIs that hold an id; ids of a wrong form, that don't exist, or without a datatype stop the run."""
     found = iris.where(F.col("iri").startswith(ITEM_ID) | F.col("iri").startswith(PROPERTY_ID)).select("iri").distinct()
     found = found.withColumn("kind", F.when(F.col("iri").startswith(ITEM_ID), "item").otherwise("property")).withColumn("id", iri_suffix(F.col("iri"), ITEM_ID, PROPERTY_ID))
-    form = F.when(F.col("kind") == "item", F.col("id").rlike("^Q[0-9]+$")).otherwise(F.col("id").rlike("^P[0-9]+$"))
-    demand_none(found.where(~form).select(F.col("iri").alias("key"), F.lit("is no id").alias("reason")), "direct ids")
-    joined = found.join(store.entities.select("id", F.col("kind").alias("has"), "datatype"), "id", "left")
-    bad = joined.where(F.col("has").isNull() | (F.col("has") != F.col("kind")) | ((F.col("kind") == "property") & F.col("datatype").isNull()))
-    demand_none(bad.select(F.col("iri").alias("key"), F.when(F.col("has").isNull(), "does not exist").otherwise("has no datatype").alias("reason")), "direct ids")
-    return joined.select("iri", "id", "kind", "datatype")
+    demand_none(direct_id_problems(found, store), "direct ids")
+    return found.join(store.entities.select("id", "datatype"), "id").select("iri", "id", "kind", "datatype")
 
 
 def single_property_types(declared: DataFrame) -> DataFrame:
@@ -202,4 +220,4 @@ def first_by_number(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def empty_rejects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REJECTS)
+    return empty(spark, REJECTS)

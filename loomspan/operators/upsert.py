@@ -33,8 +33,11 @@ def kept_terms(wanted: DataFrame, store: Store) -> DataFrame:
 
 def add_terms(store: Store, terms: DataFrame, ids: DataFrame) -> tuple[Store, DataFrame]:
     """The store with what ``terms`` (iri, ...) add, and what was kept back."""
-    wanted = terms.join(ids.select("iri", "id"), "iri").select("id", "kind", "lang", "value").distinct()
-    return store.append(terms=written(terms_diff(wanted, store), "terms")), kept_terms(wanted, store)
+    all_ = terms.join(ids.select("iri", "id"), "iri").select("iri", "id", "kind", "lang", "value").distinct()
+    # Of several entities that are one, the first by IRI gives the label and the description of a language.
+    first = all_.where("kind <> 'alias'").groupBy("id", "kind", "lang").agg(F.min(F.struct("iri", "value"))["value"].alias("value"))
+    wanted = first.unionByName(all_.where("kind = 'alias'").select("id", "kind", "lang", "value").distinct())
+    return store.append(terms=written(terms_diff(wanted, store), "terms")), kept_terms(all_.select("id", "kind", "lang", "value").distinct(), store)
 
 
 def claims_for(pairs: DataFrame) -> DataFrame:
@@ -73,13 +76,14 @@ def add_subclass_of(spark: SparkSession, store: Store, classes: list, items: Dat
 
 def cardinality(statements: DataFrame) -> DataFrame:
     """Rejects: statements with more than one subject, property or value; more than one rank has severity error."""
-    n = statements.groupBy("stmt_iri").agg(*[F.count_distinct(c).alias(c) for c in ("subject_iri", "prop_iri", "value", "rank")])
-    bad = n.where("subject_iri > 1 or prop_iri > 1 or value > 1 or rank > 1")
-    reason = F.concat_ws(", ", *[F.when(F.col(c) > 1, F.concat(F.col(c), F.lit(f" of {c}"))) for c in ("subject_iri", "prop_iri", "value", "rank")])
-    return bad.select(F.lit("statements").alias("stage"), F.col("stmt_iri").alias("key"), reason.alias("reason"), F.when(F.col("rank") > 1, "error").otherwise("warning").alias("severity"))
+    parts = {"subject": "subject_iri", "property": "prop_iri", "value": "value", "rank": "rank"}
+    n = statements.groupBy("stmt_iri").agg(*[(F.min(c) != F.max(c)).alias(k) for k, c in parts.items()])
+    several = F.concat_ws(", ", *[F.when(F.col(k), k) for k in parts])
+    out = n.select("stmt_iri", several.alias("several"), "rank").where("several <> ''")
+    return out.select(F.lit("statements").alias("stage"), F.col("stmt_iri").alias("key"), F.concat(F.lit("more than one "), "several").alias("reason"), F.when(F.col("rank"), "error").otherwise("warning").alias("severity"))
 
 
-def _valued(rows: DataFrame, lookup: DataFrame, default: str, stage: str, key: str) -> tuple[DataFrame, DataFrame]:
+def with_values(rows: DataFrame, lookup: DataFrame, default: str, stage: str, key: str) -> tuple[DataFrame, DataFrame]:
     """``rows`` with pid, datatype and the store's value; and rejects. Property and value names join the lookup."""
     properties = lookup.where("kind = 'property'").select(F.col("iri").alias("prop_iri"), F.col("id").alias("pid"), F.col("datatype").alias("want"))
     entities = lookup.select(F.col("iri").alias("__iri"), F.col("id").alias("value_id"))
@@ -111,7 +115,7 @@ def add_statements(store: Store, statements: DataFrame, lookup: DataFrame, defau
     subjects = subjects.groupBy("subject_iri").agg(F.min_by("subject_id", "subject_kind").alias("subject_id"))
     joined = once.join(subjects, "subject_iri", "left")
     demand_none(joined.where("subject_id is null").select(F.col("subject_iri").alias("key"), F.lit("has no id").alias("reason")).distinct(), "subjects")
-    valued, rejects = _valued(joined, lookup, default, "statements", "stmt_iri")
+    valued, rejects = with_values(joined, lookup, default, "statements", "stmt_iri")
     claims = with_guid(valued.select("stmt_iri", "subject_id", "pid", F.col("want").alias("datatype"), F.col("wiki").alias("value"), "rank"))
     # Statements that mean one claim: the first by name tells its rank.
     first = claims.groupBy("subject_id", "pid", "value_key").agg(F.min("stmt_iri").alias("stmt_iri"))
@@ -123,7 +127,7 @@ def add_statements(store: Store, statements: DataFrame, lookup: DataFrame, defau
 
 def add_qualifiers(store: Store, qualifiers: DataFrame, new: DataFrame, lookup: DataFrame, default: str) -> tuple[Store, DataFrame]:
     """Qualifiers of new statements only."""
-    valued, rejects = _valued(qualifiers.join(new, "stmt_iri"), lookup, default, "qualifiers", "stmt_iri")
+    valued, rejects = with_values(qualifiers.join(new, "stmt_iri"), lookup, default, "qualifiers", "stmt_iri")
     rows = valued.select("guid", "pid", F.col("wiki").alias("value")).distinct()
     return store.append(qualifiers=written(rows, "rows")), rejects
 
@@ -132,7 +136,7 @@ def add_references(store: Store, snaks: DataFrame, new: DataFrame, lookup: DataF
     """References of new statements: all valid snaks of a reference together; one without any is skipped. A reference has one statement."""
     owners = snaks.groupBy("ref_iri").agg(F.count_distinct("stmt_iri").alias("n")).where("n <> 1")
     demand_none(owners.select(F.col("ref_iri").alias("key"), F.lit("belongs to several statements").alias("reason")), "references")
-    valued, rejects = _valued(snaks.join(new, "stmt_iri"), lookup, default, "references", "ref_iri")
+    valued, rejects = with_values(snaks.join(new, "stmt_iri"), lookup, default, "references", "ref_iri")
     grouped = valued.groupBy("guid", "ref_iri").agg(F.array_sort(F.collect_set(F.struct("pid", F.col("wiki").alias("value")))).alias("snaks"))
     rows = grouped.select("guid", F.sha2(F.to_json("snaks"), 256).alias("ref_hash"), "snaks").dropDuplicates(["guid", "ref_hash"])
     return store.append(references=written(rows, "refs")), rejects

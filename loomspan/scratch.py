@@ -5,15 +5,36 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, one beside the warehouse."""
+    """This application's part of the shared folder of ``spark.checkpoint.dir``.
+
+    Unset, it is beside the warehouse where all runs on one machine; on a
+    cluster that folder could be any machine's own, so it raises.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application wrote here; DataFrames that read it can't be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, which the optimizer knows: unions and joins with it cost nothing."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in T.StructType.fromDDL(schema))
+    return spark.sql(f"SELECT {columns} WHERE false")
