@@ -77,13 +77,12 @@ def parent_join_value(spark: SparkSession, d: str) -> DataFrame:
     return _flat(_rows(spark, d, _block("orders", _ORDER, StatementMap(1, PropertyRef(PROPERTY + "customer"), value)), _block("customer", _CUSTOMER)).statements)
 
 
-@query(_flat_sql(f"{_STMT} || 'Order_' || l_orderkey || '_1_' || l_orderkey", f"{_ITEM} || 'Order_' || l_orderkey", _PROP + "line", "iri", f"{_ITEM} || 'Line_' || l_orderkey || '_' || l_linenumber", tail="FROM lineitem WHERE l_linenumber = 1"))
+@query(_flat_sql(f"{_STMT} || 'Part_' || a.l_partkey || '_1_' || a.l_orderkey", f"{_ITEM} || 'Part_' || a.l_partkey", _PROP + "line", "iri", f"{_ITEM} || 'Line_' || b.l_orderkey || '_' || b.l_linenumber || '_' || b.l_suppkey", tail="FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber"))
 def parent_join_multi_condition(spark: SparkSession, d: str) -> DataFrame:
     lines = _t(spark, d, "lineitem")
-    child = lines.where("l_linenumber = 1").select("l_orderkey", "l_linenumber")
     value = ValueSpec("parent", parent="#lineitem", conditions=(("l_orderkey", "l_orderkey"), ("l_linenumber", "l_linenumber")))
-    plan = Plan([_block("first", _item("Order_{l_orderkey}"), StatementMap(1, PropertyRef(PROPERTY + "line"), value)), _block("lineitem", _LINE)])
-    return _flat(build(spark, plan, tables={"first": child, "lineitem": lines}).statements)
+    plan = Plan([_block("ordered", _item("Part_{l_partkey}"), StatementMap(1, PropertyRef(PROPERTY + "line"), value)), _block("lineitem", _item("Line_{l_orderkey}_{l_linenumber}_{l_suppkey}"))])
+    return _flat(build(spark, plan, tables={"ordered": lines, "lineitem": lines}).statements)
 
 
 @query(
@@ -117,10 +116,10 @@ def statement_entity_template(spark: SparkSession, d: str) -> DataFrame:
     return _flat(_rows(spark, d, _block("part", _PART, StatementMap(1, PropertyRef("urn:wikibase:propertyIRI:P31"), ValueSpec("entity", entity=_item("Brand_{p_brand}")), "preferred"))).statements)
 
 
-@query("SELECT 'Order_' || o_orderkey AS stmt, CASE o_orderstatus WHEN 'F' THEN 'preferred' WHEN 'O' THEN 'normal' ELSE 'deprecated' END AS rank FROM orders")
+@query(" UNION ALL ".join(f"SELECT {_STMT} || 'Order_' || o_orderkey || '_{k}_' || o_custkey AS stmt, '{rank}' AS rank FROM orders" for k, rank in ((1, "preferred"), (2, "normal"), (3, "deprecated"))))
 def statement_rank(spark: SparkSession, d: str) -> DataFrame:
-    words = F.create_map(*[F.lit(x) for x in ("F", "preferred", "O", "normal")])
-    return _t(spark, d, "orders").select(F.concat(F.lit("Order_"), "o_orderkey").alias("stmt"), F.coalesce(F.try_element_at(words, F.col("o_orderstatus")), F.lit("deprecated")).alias("rank"))
+    made = [StatementMap(k, PropertyRef(PROPERTY + "customer"), _ref("o_custkey"), rank) for k, rank in ((1, "preferred"), (2, "normal"), (3, "deprecated"))]
+    return _rows(spark, d, _block("orders", _ORDER, *made)).statements.select(F.col("stmt_iri").alias("stmt"), "rank")
 
 
 def _line_block(*extra) -> MappingBlock:
@@ -230,7 +229,7 @@ def value_datatype_infer(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"SELECT event_id, want, CASE WHEN ok THEN lex END AS lex, CASE WHEN NOT ok THEN coalesce(has, 'plain value') || ' does not fit ' || want END AS reject FROM (SELECT *, CASE WHEN want IN ('string', 'external-id') THEN coalesce(has = 'monolingualtext', true) WHEN want = 'monolingualtext' THEN coalesce(has = 'monolingualtext', true) WHEN want = 'url' THEN coalesce(has = 'url', true) ELSE coalesce(has = want, false) END AS ok FROM (SELECT event_id, {_LEX} AS lex, {_HAS} AS has FROM events), (VALUES ('string'), ('external-id'), ('url'), ('quantity'), ('time'), ('monolingualtext'), ('wikibase-item'), ('wikibase-property')) AS w(want))"
+    f"SELECT event_id, want, CASE WHEN ok THEN lex END AS lex, CASE WHEN NOT ok THEN coalesce(has, 'plain value') || ' does not fit ' || want END AS reject FROM (SELECT *, CASE WHEN want IN ('string', 'external-id') THEN coalesce(has = 'monolingualtext', true) WHEN want = 'monolingualtext' THEN coalesce(has NOT IN ('wikibase-item', 'url'), true) WHEN want = 'url' THEN coalesce(has = 'url', true) ELSE coalesce(has = want, false) END AS ok FROM (SELECT event_id, {_LEX} AS lex, {_HAS} AS has FROM events), (VALUES ('string'), ('external-id'), ('url'), ('quantity'), ('time'), ('monolingualtext'), ('wikibase-item'), ('wikibase-property')) AS w(want))"
 )
 def value_normalize_reject(spark: SparkSession, d: str) -> DataFrame:
     wants = F.array(*[F.lit(w) for w in ("string", "external-id", "url", "quantity", "time", "monolingualtext", "wikibase-item", "wikibase-property")])
@@ -254,8 +253,10 @@ def value_convert_quantity(spark: SparkSession, d: str) -> DataFrame:
 def value_convert_time(spark: SparkSession, d: str) -> DataFrame:
     df = _t(spark, d, "orders")
     forms = {"gYear": "yyyy", "gYearMonth": "yyyy-MM", "date": "yyyy-MM-dd", "dateTime": "yyyy-MM-dd'T'HH:mm:ss"}
-    made = [F.struct(F.lit(k).alias("kind"), _converted(df, F.date_format("o_orderdate", f), XSD + k, "time").alias("w")) for k, f in forms.items()]
-    return df.select("o_orderkey", F.explode(F.array(*made)).alias("x")).select("o_orderkey", "x.kind", "x.w.time", "x.w.precision")
+    made = [F.struct(F.lit(k).alias("kind"), F.date_format("o_orderdate", f).alias("lex")) for k, f in forms.items()]
+    rows = df.select("o_orderkey", F.explode(F.array(*made)).alias("x")).select("o_orderkey", "x.kind", "x.lex")
+    time, precision = vl.time_text(F.col("lex"), F.concat(F.lit(XSD), "kind"))
+    return rows.select("o_orderkey", "kind", time.alias("time"), precision.alias("precision"))
 
 
 @query(r"SELECT doc_id, trim(source, chr(32)) AS text, CASE WHEN lang IN ('de', 'fr') THEN lang ELSE 'en' END AS language FROM documents")
@@ -277,56 +278,12 @@ def values_match_key(spark: SparkSession, d: str) -> DataFrame:
 # Lookup, conflicts and upserts ---------------------------------------------------------
 
 
-@query("SELECT o_orderkey, 'Q' || c_custkey AS subject_id FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 3 <> 0")
-def lookup_join_items(spark: SparkSession, d: str) -> DataFrame:
-    lookup = _t(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.concat(F.lit(ITEM + "Customer_"), "c_custkey").alias("iri"), F.concat(F.lit("Q"), "c_custkey").alias("subject_id"))
-    orders = _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit(ITEM + "Customer_"), "o_custkey").alias("iri"))
-    return orders.join(lookup, "iri", "left").select("o_orderkey", "subject_id")
-
-
-@query(f"SELECT event_id AS key, CASE WHEN event_type NOT IN ('view', 'purchase') THEN 'no property {_PROP}' || event_type WHEN event_type = 'view' THEN 'no datatype for {_PROP}view' END AS reason FROM events")
-def lookup_join_missing(spark: SparkSession, d: str) -> DataFrame:
-    known = spark.createDataFrame([(PROPERTY + "view", "P1", None), (PROPERTY + "purchase", "P2", "quantity")], "prop string, pid string, datatype string")
-    rows = _t(spark, d, "events").select(F.col("event_id").alias("key"), F.concat(F.lit(PROPERTY), "event_type").alias("prop")).join(known, "prop", "left")
-    return rows.select("key", F.when(F.col("pid").isNull(), F.concat(F.lit("no property "), "prop")).when(F.col("datatype").isNull(), F.concat(F.lit("no datatype for "), "prop")).alias("reason"))
-
-
-@query("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_orderkey = o.o_orderkey AND x.o_orderkey % 2 = 0)")
-def existing_claims_antijoin(spark: SparkSession, d: str) -> DataFrame:
-    orders = _t(spark, d, "orders")
-    return orders.select("o_orderkey", "o_custkey").join(orders.where("o_orderkey % 2 = 0").select("o_orderkey"), "o_orderkey", "left_anti")
-
-
-@query("SELECT o_custkey AS cached, CAST(count(*) AS BIGINT) AS uses FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey")
-def stale_cache_eviction(spark: SparkSession, d: str) -> DataFrame:
-    live = _t(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("cached"))
-    return _t(spark, d, "orders").select(F.col("o_custkey").alias("cached")).join(live, "cached", "left_semi").groupBy("cached").agg(F.count(F.lit(1)).alias("uses"))
-
-
 @query("SELECT 'n' || c_nationkey AS key, 'has ' || count(DISTINCT c_mktsegment) || ' different labels in en' AS reason FROM customer GROUP BY c_nationkey HAVING count(DISTINCT c_mktsegment) > 1")
 def label_conflict_check(spark: SparkSession, d: str) -> DataFrame:
     terms = _t(spark, d, "customer").select(F.concat(F.lit("n"), "c_nationkey").alias("iri"), F.lit("label").alias("kind"), F.lit("en").alias("lang"), F.col("c_mktsegment").alias("value"))
     return rc.term_conflicts(terms)
 
 
-@query("SELECT l_orderkey AS key, CAST(count(DISTINCT l_suppkey) AS BIGINT) AS subjects, CAST(count(DISTINCT l_returnflag) AS BIGINT) AS ranks FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) > 1 OR count(DISTINCT l_returnflag) > 1")
-def cardinality_check(spark: SparkSession, d: str) -> DataFrame:
-    n = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.count_distinct("l_suppkey").alias("subjects"), F.count_distinct("l_returnflag").alias("ranks"))
-    return n.where("subjects > 1 or ranks > 1")
-
-
-@query("SELECT label, min(p_partkey) AS first_id, CAST(count(DISTINCT p_partkey) AS BIGINT) AS matches FROM (SELECT p_partkey, lower(trim(p_type)) AS label FROM part) GROUP BY label")
-def label_search_first_match(spark: SparkSession, d: str) -> DataFrame:
-    labels = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lower(F.trim("p_type")).alias("label"))
-    return labels.groupBy("label").agg(F.min("id").alias("first_id"), F.count_distinct("id").alias("matches"))
-
-
-@query("SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey, lower(c_mktsegment)) AS leader FROM customer")
-def same_run_key_merge(spark: SparkSession, d: str) -> DataFrame:
-    df = _t(spark, d, "customer").select("c_custkey", "c_nationkey", F.lower("c_mktsegment").alias("key"))
-    return df.join(df.groupBy("c_nationkey", "key").agg(F.min("c_custkey").alias("leader")), ["c_nationkey", "key"]).select("c_custkey", "leader")
-
-
 @query("SELECT iri, 'Q' || (1000 + row_number() OVER (ORDER BY iri)) AS id FROM (SELECT 'Order_' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS iri FROM orders)")
 def id_allocation(spark: SparkSession, d: str) -> DataFrame:
     iris = _t(spark, d, "orders").select(F.concat(F.lit("Order_"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("iri"))
@@ -357,14 +314,6 @@ def label_fallback_suffix(spark: SparkSession, d: str) -> DataFrame:
     return out.select(tm.iri_suffix(F.col("iri"), ITEM).alias("iri"), F.col("value").alias("label"))
 
 
-@query("SELECT o_orderkey, CASE WHEN NOT regexp_matches(id, '^Q[0-9]+$') THEN 'is no id' WHEN c_custkey IS NULL THEN 'does not exist' END AS reason FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE 'Q' END || o_custkey AS id FROM orders) LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0")
-def direct_id_validation(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").select("o_orderkey", F.concat(F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise("Q"), "o_custkey").alias("id"), "o_custkey")
-    live = _t(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.lit(True).alias("there"))
-    reason = F.when(~F.col("id").rlike("^Q[0-9]+$"), "is no id").when(F.col("there").isNull(), "does not exist")
-    return o.join(live, "o_custkey", "left").select("o_orderkey", reason.alias("reason"))
-
-
 @query(f"SELECT {_ITEM} || 'Customer_' || o_custkey AS iri FROM orders UNION SELECT {_ITEM} || 'Order_' || o_orderkey FROM orders")
 def distinct_iris(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d, "orders").select(F.concat(F.lit(ITEM + "Order_"), "o_orderkey").alias("s"), F.concat(F.lit(ITEM + "Customer_"), "o_custkey").alias("o"))
@@ -376,11 +325,6 @@ def cross_source_union(spark: SparkSession, d: str) -> DataFrame:
     return instance_of_triples(spark, d).select(F.col("iri").alias("s"), F.lit(RDF + "type").alias("p"), F.col("class_iri").alias("o"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT BETWEEN 100 AND 300")
-def bulk_delete_range(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "customer").select("c_custkey").join(spark.range(100, 301).withColumnRenamed("id", "c_custkey"), "c_custkey", "left_anti")
-
-
 @query(r"""SELECT '<urn:d:' || doc_id || '> <urn:text> "' || replace(replace(replace(replace(replace(text, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') || '"@' || lang || ' .' AS line FROM documents""")
 def ntriples_serialize(spark: SparkSession, d: str) -> DataFrame:
     value = F.struct(F.lit("literal").alias("kind"), F.col("text").alias("lex"), F.lit(None).cast("string").alias("datatype"), F.col("lang").alias("lang"))
