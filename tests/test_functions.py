@@ -51,9 +51,9 @@ def test_plain_values(spark, lex, want, kept):
     [
         (("literal", "x", None, "de"), {"string", "external-id", "monolingualtext"}),
         (("literal", "x", "string"), {"string", "monolingualtext"}),
-        (("literal", "1", "integer"), {"quantity"}),
-        (("literal", "2020-01-01", "date"), {"time"}),
-        (("literal", "http://x", "anyURI"), {"url"}),
+        (("literal", "1", "integer"), {"quantity", "monolingualtext"}),
+        (("literal", "2020-01-01", "date"), {"time", "monolingualtext"}),
+        (("literal", "http://x", "anyURI"), {"url", "monolingualtext"}),
         (("iri", ITEM + "a"), {"wikibase-item"}),
         (("iri", "urn:wikibase:property:a"), {"wikibase-property"}),
         (("iri", "http://x"), {"url"}),
@@ -103,7 +103,7 @@ def test_ntriples(spark, tmp_path):
     assert rows["_:b", "urn:b"]["kind"] == "iri" and rows["urn:a", "urn:n"]["datatype"] == "urn:int"
     p.write_text("<urn:a> <urn:b> <urn:c> .\nbroken\n")
     assert [r["line"] for r in bad_lines(spark, str(p)).collect()] == [2]
-    with pytest.raises(Exception, match="not a triple"):
+    with pytest.raises(Exception, match="malformed N-Triples line 2: broken"):
         read_ntriples(spark, str(p)).collect()
 
 

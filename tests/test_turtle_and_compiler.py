@@ -2,20 +2,29 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from loomspan.plans.compiler import MappingError, compile_mapping, encode, schema_graph, strip_mapping
+from loomspan.plans.compiler import MappingError, compile_mapping, encode, plan_graph, schema_graph, strip_mapping
 from loomspan.sources.turtle import Graph, Iri, Literal, TurtleError, parse_turtle, write_ntriples, write_turtle
 
-from .mappings import FULL, PEOPLE, X
+from .mappings import FULL, VOYAGES, X
 
 
-def test_people_mapping_compiles():
-    plan = compile_mapping(PEOPLE)
-    block = plan.blocks[0]
-    assert [s.stat_id for s in block.statements] == [1, 2]
-    assert block.statements[0].property.iri == "urn:wikibase:property:nationality"
-    assert block.entity.classes == ("urn:wikibase:item:Person",)
-    assert [d.iri for d in plan.classes] == ["urn:wikibase:item:Person"]
-    assert {d.iri: d.property_types for d in plan.properties} == {"urn:wikibase:property:nationality": ("string",), "urn:wikibase:property:knows": ("wikibase-item",)}
+def test_voyages_compile():
+    plan = compile_mapping(VOYAGES)
+    voyages, ports = plan.blocks
+    assert (voyages.source.kind, voyages.source.iterator, ports.source.kind) == ("json", "$.log[*]", "csv")
+    assert voyages.entity.classes == ("urn:wikibase:item:Voyage",) and ports.entity.classes == ()
+    made = voyages.statements[0]
+    assert made.value.conditions == (("leg.to", "code"),) and made.name(voyages.entity).text == "Voyage {code}_1_{leg.to}"
+    assert {d.iri.rpartition(":")[2]: d.property_types for d in plan.properties} == {"tonnage": ("quantity",), "berth": ("wikibase-item",)}
+
+
+def test_plan_as_rml():
+    graph = parse_turtle(write_turtle(plan_graph(compile_mapping(VOYAGES))))
+    rr = "http://www.w3.org/ns/r2rml#"
+    names = [s.value.partition("#")[2] for s in graph.subjects("http://www.w3.org/1999/02/22-rdf-syntax-ns#type", Iri(rr + "TriplesMap"))]
+    assert names == ["Voyages", "Voyages/statement/1", "Ports"]
+    assert Literal("urn:wikibase:statement:Voyage {code}_1_{leg.to}") in {o for _, _, o in graph.triples}
+    assert [o.text for s in graph.subjects(rr + "joinCondition") for c in graph.objects(s, rr + "joinCondition") for o in graph.objects(c, rr + "child")] == ["leg.to"]
 
 
 def test_property_resolution_order():
@@ -51,10 +60,11 @@ def test_problems_are_told(text, what):
 
 
 def test_schema_graph_and_stripping():
-    graph = schema_graph(compile_mapping(PEOPLE))
-    assert Literal("Person", None, "en") in {o for _, _, o in graph.triples}
-    kept = strip_mapping(parse_turtle(PEOPLE + "<urn:a> <urn:b> 'c' ."))
-    assert [s.value for s, _, _ in kept.triples] == ["urn:a"]
+    graph = schema_graph(compile_mapping(VOYAGES))
+    assert Literal("trip", None, "en") in {o for _, _, o in graph.triples}
+    kept = strip_mapping(parse_turtle(VOYAGES + "<urn:a> <urn:b> 'c' . <#berth> <urn:seen> 1 ."))
+    assert {s.value.rpartition("#")[2] for s, _, _ in kept.triples if isinstance(s, Iri)} == {"urn:a", "berth", "Voyages", "Ports"}
+    assert {p.value.rpartition("#")[2] for _, p, _ in kept.triples} == {"urn:b", "urn:seen", "logicalSource", "source", "iterator"}
 
 
 def test_turtle_forms():
