@@ -7,22 +7,33 @@ one job. Every change ends with a new manifest, a small file that names the
 live shards, put in its place by an atomic rename that fails if another writer
 was first; readers see the manifest before or the one after.
 
+An append that meets another writer's commit is tried again on top of it. Files
+are deleted by :func:`ShardStore.vacuum` once no manifest that is kept names them
+and they are older than a grace time, so that an append that is written but not
+yet committed loses nothing.
+
 Rows come through whole: nulls, empty or long texts, repeated rows and extra
-columns are kept as they are. Empty arrivals add a version without shards.
+columns, whatever their names, are kept as they are. Empty arrivals add a version
+without shards.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import as_row
+
 TARGET = 32 << 20
 FAN_IN = 4
+#: Seconds that a file without a manifest is kept, and how many manifests are.
+GRACE, KEEP = 24 * 3600, 10
 
 
 class Conflict(RuntimeError):
@@ -94,11 +105,19 @@ class ShardStore:
                 found.append(Shard(f.getPath().toString().removeprefix(root), f.getLen()))
         return sorted(found, key=lambda s: s.name)
 
-    def append(self, rows: DataFrame) -> int:
-        """Write an arrival as small shards and commit it."""
-        after, folder = self._last(), f"data/{uuid.uuid4().hex}"
+    def append(self, rows: DataFrame, tries: int = 10) -> int:
+        """Write an arrival as small shards and commit it, after whatever others commit meanwhile."""
+        folder = f"data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
-        return self.commit(self.manifest(after or None) + self._written(folder), after)
+        own = self._written(folder)
+        while True:
+            after = self._last()
+            try:
+                return self.commit(self.manifest(after or None) + own, after)
+            except Conflict:
+                tries -= 1
+                if not tries:
+                    raise
 
     def tier(self, size: int) -> int:
         """0 for the smallest shards; the highest tier, from the target's half on, is never merged."""
@@ -131,25 +150,29 @@ class ShardStore:
         runs = self.plan(shards, all_tiers)
         if not runs:
             return after
-        names = [(s.name, k) for k, run in enumerate(runs) for s in run]
-        files = self.spark.createDataFrame(names, "__name string, __run int")
+        # One file for each run, by a task of its own. The plan has a row per merged file and goes to all tasks only while small.
+        files = self.spark.createDataFrame([(s.name, k) for k, run in enumerate(runs) for s in run], "name string, run int")
         root = self._fs.makeQualified(self._at("")).toString().rstrip("/") + "/"
         rows = self._read([s for run in runs for s in run])
-        columns = rows.columns
-        # The path below the root tells the shard; the plan has a row per merged file and goes to all tasks only while small.
         path = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"), "^" + root.replace(":///", ":/"), "")
-        rows = rows.select("*", path.alias("__name")).join(files, "__name").select(*columns, "__run")
+        rows = rows.select(as_row(rows), path.alias("name")).join(files, "name")
         folder = f"data/{uuid.uuid4().hex}"
-        rows.repartition(len(runs), "__run").write.option("compression", "zstd").partitionBy("__run").parquet(f"{self.path}/{folder}")
+        rows.repartitionById(len(runs), "run").select("row.*").write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         gone = {s.name for run in runs for s in run}
         return self.commit([s for s in shards if s.name not in gone] + self._written(folder), after)
 
-    def vacuum(self) -> int:
-        """Delete shards that the last manifest doesn't name; how many."""
-        live, gone = {s.name for s in self.manifest()}, 0
+    def vacuum(self, grace: float = GRACE, keep: int = KEEP) -> int:
+        """Delete manifests but the last ``keep``, and files that none of those names, older than ``grace`` seconds; how many files."""
+        versions = self.versions()
+        kept = versions[-max(1, keep) :]
+        live = {s.name for v in kept for s in self.manifest(v)}
+        for v in versions[: -max(1, keep)]:
+            self._fs.delete(self._at(f"manifests/v{v:012d}.json"), False)
+        before, gone = (time.time() - grace) * 1000, 0
         for s in self._written("data") if self._fs.exists(self._at("data")) else []:
-            if s.name not in live:
-                gone += bool(self._fs.delete(self._at(s.name), False))
+            at = self._at(s.name)
+            if s.name not in live and self._fs.getFileStatus(at).getModificationTime() <= before:
+                gone += bool(self._fs.delete(at, False))
         return gone
 
     def _read(self, shards: list[Shard]) -> DataFrame:
@@ -166,7 +189,7 @@ def shard_report(docs: DataFrame, path: str, arrivals: int = 4, target: int = TA
     for k in range(arrivals):
         store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)) == k))
         store.compact()
-        store.vacuum()
+        store.vacuum(0, 1)  # nobody else writes here
     version = store.compact(all_tiers=True)
-    store.vacuum()
+    store.vacuum(0, 1)
     return store.read(version).select("doc_id", F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"), F.lit(version).cast("long").alias("version"))
