@@ -7,7 +7,8 @@ hosts: a host's counts lean on its domain's, those on all pages'. A page's own
 share is taken out of its host's and domain's counts. The evidence is multiplied.
 
 The model is fitted on at most ``sample`` documents that have a language, the
-first by hash of doc_id; all other statistics cover all pages.
+first by hash of doc_id; all other statistics cover all pages. A language that
+none of the sample has is never told.
 
 Nulls: a page without html, text or url is judged by the evidence there is.
 Hosts and declarations that are missing count as values of their own. Repeated
@@ -34,20 +35,49 @@ BUCKETS = 1 << 16
 TRIGRAMS = 60.0
 SMOOTHING = 4.0
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<!--|<(script|style|template|noscript)\b", re.I)
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "template", "noscript")} | {"": re.compile("-->")}
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
-_META = re.compile(r"<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\b(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_META = re.compile(r"<meta\b([^>]*)>", re.I)
+_CONTENT = re.compile(r"\bcontent\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)")
 
 
 def visible_text(page: str | None) -> str:
-    return html_.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page or "")))
+    """The text outside tags, comments and hidden elements; of those without an end only the start is left out. Each character is looked at a few times, whatever the page."""
+    page = page or ""
+    parts, at, endless = [], 0, set()
+    for start in _HIDDEN.finditer(page):
+        if start.start() < at:
+            continue
+        tag = (start[1] or "").lower()
+        end = None if tag in endless else _END[tag].search(page, start.end())
+        if not end:
+            endless.add(tag)
+            continue
+        parts += [page[at : start.start()], " "]
+        at = end.end()
+    whole = "".join(parts) + page[at:]
+    last = whole.rfind(">") + 1  # beyond it no tag ends
+    return html_.unescape(_TAG.sub(" ", whole[:last]) + whole[last:])
 
 
 def declared_language(page: str | None) -> str:
-    found = _DECLARED.search(page or "") or _META.search(page or "")
-    return found[1].lower() if found else ""
+    """Of the html element, or of a meta element that tells the content's language."""
+    page = page or ""
+    start = _HTML.search(page)
+    if start:
+        end = page.find(">", start.end())
+        found = _LANG.search(page, start.end(), end) if end >= 0 else None
+        if found:
+            return found[1].lower()
+    for meta in _META.finditer(page, 0, page.rfind(">") + 1):
+        found = _CONTENT.search(meta[1]) if "content-language" in meta[1].lower() else None
+        if found:
+            return found[1].lower()
+    return ""
 
 
 def host_of(url: str | None) -> str:
@@ -83,7 +113,10 @@ _EVIDENCE = T.StructType(
 def identify(pages: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per page: page_id, url, lang, confidence, text_lang, declared, host. ``labelled`` has doc_id, text and lang."""
     spark = pages.sparkSession
-    some = labelled.where("lang is not null and text is not null").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("text", "lang").limit(sample).collect()
+    known = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    # By a threshold on keys first: about twice the sample is ordered, whatever the table.
+    share = min(1.0, 2 * sample / max(1, labelled.where("lang is not null").count()))
+    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("text", "lang").limit(sample).collect()
     languages, table = train([(r["text"], r["lang"]) for r in some])
     if not languages:
         return pages.select("page_id", "url", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("host"))
