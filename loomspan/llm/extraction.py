@@ -40,7 +40,10 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Where markup may begin, and a tag's attributes up to its end: quoted values may hold any character.
+_START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_TAG_NAME = re.compile(r"[^\s/>]+")
+_ATTRIBUTES = re.compile(r"[^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>")
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PARTS = re.compile(r"[a-z]+")
@@ -64,7 +67,7 @@ TAGS = {
     "nav": "menu", "menu": "menu", "header": "head", "footer": "foot", "aside": "side", "dialog": "note", "form": "form", "button": "form", "fieldset": "form", "select": "form", "article": "article", "main": "main",
     "p": "p", "blockquote": "p", "pre": "p", "h1": "h", "h2": "h", "h3": "h", "h4": "h", "h5": "h", "h6": "h", "ul": "list", "ol": "list", "dl": "list", "li": "item", "dd": "item", "dt": "item", "table": "table", "td": "cell", "th": "cell", "section": "section", "figure": "figure", "figcaption": "figure", "div": "div", "body": "top", "html": "top",
 }
-FEATURES = ["bias", *sorted({f"tag:{v}" for v in TAGS.values()} | {"tag:other"}), *[f"name:{k}" for k in HINTS], "links:some", "links:most", "text:none", "text:short", "text:long", "text:stops", "hidden"]
+FEATURES = ["bias", *sorted({f"tag:{v}" for v in TAGS.values()} | {"tag:other"}), *[f"name:{k}" for k in HINTS], "links:some", "links:most", "text:none", "text:short", "text:long", "text:stops", "page:all", "page:half", "hidden"]
 _FEATURE = {f: k for k, f in enumerate(FEATURES)}
 #: Kinds of edges: an ordinary child, a child that names what it is, and the children of article and main.
 EDGES = ["plain", "named", "inside"]
@@ -84,7 +87,12 @@ class Node:
 
 
 def parse(page: str | None) -> list[Node]:
-    """The page's block elements, parents before children; raw elements are left out with all that is in them, of one without an end tag only the start tag."""
+    """The page's block elements, parents before children; raw elements are left out with all that is in them, of one without an end tag only the start tag.
+
+    A tag with a quote that never closes ends at the next ``>``. Markup that no
+    ``>`` follows any more is all that is left of the page. Each character is
+    looked at a few times, whatever the page.
+    """
     nodes = [Node("html")]
     stack: list[tuple[str, int]] = [("html", 0)]  # all open elements, with the block each belongs to
     buffer: list[str] = []
@@ -111,44 +119,77 @@ def parse(page: str | None) -> list[Node]:
             if links:
                 nodes[stack[-1][1]].linked += len(" ".join(text.split()))
 
+    # Depths of the open elements by tag, and of those that are blocks.
+    opened: dict[str, list[int]] = {"html": [0]}
+    blocks = [0]
+
+    def push(tag: str, block: int) -> None:
+        opened.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            blocks.append(len(stack))
+        stack.append((tag, block))
+
     def close(depth: int) -> None:
         nonlocal links
         while len(stack) > depth:
             tag, block = stack.pop()
+            opened[tag].pop()
             links -= tag == "a"
             if tag not in INLINE:
+                blocks.pop()
                 flush(block)
 
-    size = len(page)
+    def deepest(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
+    size, last = len(page), page.rfind(">")
+    no_body = False
+
+    def tag_end(at: int) -> int:
+        """Just behind the tag whose attributes begin at ``at``."""
+        found = _ATTRIBUTES.match(page, at)
+        if found:
+            return found.end()
+        return page.index(">", at) + 1
+
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = _START.search(page, at)
         if not found:
             add(page[at:])
             break
         add(page[at : found.start()])
-        at = found.end()
-        if found[1]:
-            tag = found[1].lower()
+        kind = found[0]
+        if kind == "<!--":
+            end = page.find("-->", found.end())
+            at = size if end < 0 else end + 3
+            continue
+        if found.start() > last:
+            break
+        if kind in ("<!", "<?"):
+            at = page.index(">", found.end()) + 1
+            continue
+        name = _TAG_NAME.match(page, found.end() - 1)
+        tag = name[0].lower()
+        at = tag_end(name.end())
+        given = page[name.end() : at - 1]
+        if kind[1] == "/":
             if tag == "br":
                 flush(stack[-1][1])
                 continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    if tag in INLINE and any(t not in INLINE for t, _ in stack[depth + 1 :]):
-                        break  # an inline end tag doesn't close blocks
-                    close(depth)
-                    break
-        elif found[2]:
-            tag, given = found[2].lower(), found[3]
+            depth = deepest([tag])
+            if depth and (tag not in INLINE or depth > blocks[-1]):  # an inline end tag doesn't close blocks
+                close(depth)
+        else:
             if tag in RAW:
                 if not given.endswith("/"):
                     end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                     if not end:
                         endless.add(tag)
                     if tag == "head":  # as far as the body, even if it isn't closed
-                        body = re.compile(r"<body\b", re.I).search(page, at)
-                        at = min(end.end() if end else size, body.start() if body else size)
-                        at = at if end or body else found.end()
+                        body = None if no_body else re.compile(r"<body\b", re.I).search(page, at)
+                        no_body = not body
+                        if end or body:
+                            at = min(end.end() if end else size, body.start() if body else size)
                     else:
                         at = end.end() if end else at
                 continue
@@ -156,20 +197,10 @@ def parse(page: str | None) -> list[Node]:
                 if tag in ("br", "hr"):
                     flush(stack[-1][1])
                 continue
-            if tag in CLOSES_P:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == "p":
-                        close(depth)
-                        break
-                    if stack[depth][0] not in INLINE:
-                        break
-            if tag in SIBLINGS:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] in SIBLINGS[tag]:
-                        close(depth)
-                        break
-                    if stack[depth][0] in SCOPES[tag]:
-                        break
+            if tag in CLOSES_P and stack[blocks[-1]][0] == "p":
+                close(blocks[-1])
+            if tag in SIBLINGS and (depth := deepest(SIBLINGS[tag])) > deepest(SCOPES[tag]):
+                close(depth)
             block = stack[-1][1]
             if tag not in INLINE:
                 flush(block)
@@ -177,7 +208,7 @@ def parse(page: str | None) -> list[Node]:
                 nodes.append(Node(tag, names, block, bool(given and _HIDDEN.search(given))))
                 block = len(nodes) - 1
             if not given.endswith("/"):
-                stack.append((tag, block))
+                push(tag, block)
                 links += tag == "a"
     flush(stack[-1][1])
     close(1)
@@ -192,6 +223,7 @@ def describe(nodes: list[Node]) -> tuple[list[list[int]], list[int]]:
     for k in range(len(nodes) - 1, 0, -1):
         below[nodes[k].parent] += below[k]
         linked[nodes[k].parent] += linked[k]
+    plain = below[0] - linked[0]
     for k, n in enumerate(nodes):
         on = [_FEATURE["bias"], _FEATURE[f"tag:{TAGS.get(n.tag, 'other')}"]]
         hints = {_HINT[w] for w in _PARTS.findall(_SPLIT.sub(" ", n.names).lower()) if w in _HINT} if n.names else set()
@@ -199,6 +231,9 @@ def describe(nodes: list[Node]) -> tuple[list[list[int]], list[int]]:
         share = linked[k] / below[k] if below[k] else 0
         on += [_FEATURE["links:most"]] if share > 0.6 else [_FEATURE["links:some"]] if share > 0.25 else []
         on += [_FEATURE["text:none" if not n.chars else "text:short" if n.chars < 40 else "text:long"]] + [_FEATURE["text:stops"]] * (n.stops > 1)
+        # How much of the page's unlinked text is the node's own.
+        own = (n.chars - n.linked) / plain if plain > 0 else 0
+        on += [_FEATURE["page:all"]] if own > 0.9 else [_FEATURE["page:half"]] if own > 0.4 else []
         on += [_FEATURE["hidden"]] * n.hidden
         features.append(on)
         named = bool(hints - {"body", "meta"}) or n.tag in ("nav", "header", "footer", "aside", "form", "dialog")
@@ -295,8 +330,13 @@ def fit(pages: list[tuple[str, set[str] | None]], rounds: int = 80, rate: float
     return model
 
 
-def layout_pages(n: int = 150, seed: int = 5) -> list[tuple[str, set[str]]]:
-    """Labelled pages in many layouts, with words that mean nothing."""
+def layout_pages(n: int = 200, seed: int = 5, known: float = 0.6) -> list[tuple[str, set[str]]]:
+    """Labelled pages in many layouts, with words that mean nothing.
+
+    A share ``known`` of the names are among those that are told apart; the
+    others mean nothing, or stand for themselves as pages without any markup do.
+    Then only tags, links and text tell what a block is.
+    """
     rng = random.Random(seed)
     syllables = "ba ce di fo gu ha ki lo mu na pe ri so tu ve wi xo ya zu".split()
 
@@ -319,7 +359,8 @@ def layout_pages(n: int = 150, seed: int = 5) -> list[tuple[str, set[str]]]:
 
         def block(kind: str) -> str:
             text = lambda: " ".join(sentence(3, 14) for _ in range(rng.randint(1, 5)))
-            name = rng.choice(HINTS[kind])
+            # What only its name gives away keeps it.
+            name = rng.choice(HINTS[kind]) if kind in ("ad", "note", "side", "foot", "head", "talk") or rng.random() < known else words(1)
             how = rng.choice([f'class="{name}"', f'id="{name}"', f'class="box {name}-wrap"', f'role="{name}"'])
             if kind == "menu":
                 return rng.choice([f"<nav>{links(rng.randint(3, 8))}</nav>", f"<div {how}>{links(rng.randint(3, 8))}</div>"])
@@ -357,8 +398,12 @@ def layout_pages(n: int = 150, seed: int = 5) -> list[tuple[str, set[str]]]:
         body = "".join(paragraph() + (block(rng.choice(["ad", "note", "form", "side"])) if rng.random() < 0.08 else "") for _ in range(rng.randint(1, 9)))
         if rng.random() < 0.5:
             body += block(rng.choice(["talk", "meta", "side"]))
-        body = title + body
-        shell = rng.choice(["<article>{}</article>", "<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="main"><div class="post">{}</div></div>', '<div class="entry-content">{}</div>', "<div>{}</div>", '<section class="story">{}</section>'])
+        body = (title if rng.random() < 0.8 else "") + body
+        if rng.random() < 0.2:  # little or no markup
+            text = keep(" ".join(sentence(1, 20) for _ in range(rng.randint(1, 4))))
+            pages.append((rng.choice(["{}", "<html><body>{}</body></html>", "<article><p>{}</p></article>", "<div><p>{}</p></div>", "<p>{}</p>", "<body><main>{}</main></body>"]).format(text), wanted | {text}))
+            continue
+        shell = rng.choice(["<article>{}</article>", "<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="main"><div class="post">{}</div></div>', '<div class="entry-content">{}</div>', "<div>{}</div>", '<section class="story">{}</section>']) if rng.random() < known else rng.choice(['<div class="NAME">{}</div>', '<div id="NAME"><div class="NAME2">{}</div></div>', '<section class="NAME">{}</section>', "<div><div>{}</div></div>", "{}"]).replace("NAME2", words(1) + "2").replace("NAME", words(1))
         before = [block(k) for k in ("menu", "head", "note", "ad", "form", "side") if rng.random() < 0.5]
         after = [block(k) for k in ("side", "talk", "ad", "foot", "menu", "note", "form") if rng.random() < 0.5]
         rng.shuffle(before)
