@@ -17,8 +17,11 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +38,7 @@ UNIT = 16
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of each of a tokenizer's two caches, about; a full cache is emptied, and both when a task ends.
-CACHE_BYTES = 12 << 20
+CACHE_BYTES = 48 << 20
 #: Bytes that an entry takes beside its key and ids.
 ENTRY = 170
 #: The linear program stops within this share of its lower bound.
@@ -60,6 +63,7 @@ class WordTokenizer:
         self.forget()
         FORGET.append(self.forget)
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        self.split_ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
         # Byte-level vocabularies write bytes as visible characters: printable Latin-1 as it is, the rest from 256 on.
         seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in set(seen)]
@@ -72,7 +76,10 @@ class WordTokenizer:
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
@@ -86,9 +93,12 @@ class WordTokenizer:
         return found
 
     def word(self, raw: bytes) -> bytes:
-        text = raw.decode()
-        if "<|" in text or max(text) > "ɏ" or not text.isprintable():
+        if raw.isalpha():  # of ASCII letters, one piece
+            ids = self.piece(raw.lower().decode())
+        elif "<|" in (text := raw.decode()) or max(text) > "ɏ" or not text.isprintable():
             ids = self.packed(self.whole.encode(text, add_special_tokens=False).ids)
+        elif text.isascii():
+            ids = b"".join(map(self.piece, self.split_ascii(text.lower())))
         else:
             ids = b"".join(map(self.piece, self.split(unicodedata.normalize("NFC", text).lower())))
         if len(raw) < 64:
