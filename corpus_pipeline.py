@@ -4,6 +4,12 @@
 and returns a DataFrame, the first four with the columns of ``documents``. The
 last stage's packing isn't expressible in SQL, so ``ORACLE_SQL`` is None and
 the tests hold the pipeline against a brute-force version.
+
+Every stage handles nulls in any column (a null text is empty and fails the
+quality rules, a null source is a source of its own, a null doc_id an id above
+all others), empty and very long texts, ties (the least id or the hash decides),
+repeated rows (one of them stays), empty tables (empty results), and extra
+columns of any name, which all but the last stage return as they are.
 """
 
 from __future__ import annotations
