@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline as cp
 
 from .test_join_packing import brute_join, whole_ids
-from .test_rules_dedup_mixing import brute_dedup, brute_repeats, brute_targets
+from .test_rules_dedup_mixing import CLASH, brute_dedup, brute_repeats, brute_targets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -55,3 +55,33 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert covered == Counter({k: n * len(ids[k]) // 4 for k, n in copies.items()})
     for own in used.values():
         assert sum(n for _, n in own) <= 2048 and all(a + n == b for (a, n), (b, _) in zip(sorted(own), sorted(own)[1:]))
+
+
+def test_odd_rows_lines_and_columns(spark, tmp_path):
+    rng = random.Random(13)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    line = "the same line at the head of them all"
+    rows = [(k, f"{line}\n{words(30)}", "h") for k in range(14)]  # lose a line
+    rows += [(20, f"{line}\n{words(3)}", "h")]  # little but that line
+    rows += [(None, words(20), None), (None, None, None), (21, "", "h"), (22, words(40), None), (22, rows[3][1], "h"), (23, words(9000), "h")]
+    rows += [rows[5], rows[5], (24, words(15) + " ", "h")]
+    df = spark.createDataFrame([(k, t, "en", s, len(t or "")) for k, t, s in rows], DOCS).selectExpr("*", *CLASH)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    docs = cp.table(spark, str(tmp_path), "documents")
+    for _, stage in cp.STAGES[:3]:
+        docs = cp.staged(stage(spark, docs, str(tmp_path)), "odd")
+        assert docs.columns == df.columns
+    kept = docs.collect()
+    want = {(k, t.removeprefix(line + "\n")) for k, t, _ in rows if t and len(t) > 100 and k != 20}
+    want -= {(22, rows[3][1].removeprefix(line + "\n"))}  # a copy of document 3
+    assert {(r["doc_id"], r["text"]) for r in kept} == want and len(kept) == len(want)
+    assert all(r["n_chars"] == len(r["text"]) and r["row"] == "row" for r in kept)
+    mixed = cp.STAGES[3][1](spark, docs, str(tmp_path))
+    assert mixed.columns == df.columns and mixed.count() > 0
+    pieces = cp.run(spark, str(tmp_path)).collect()
+    assert {p["doc_id"] for p in pieces} <= {k for k, _ in want}
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    assert cp.run(spark, str(tmp_path)).count() == 0
