@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,9 @@ from ..plans.ir import Template
 SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
 
 
+_NUMERAL = re.compile(r"-?[0-9]+(-[0-9]+)*|true|false")
+
+
 class UnknownField(ValueError):
     pass
 
@@ -46,15 +50,23 @@ def field_path(schema: T.StructType, name: str) -> tuple[list[str], T.DataType]:
     return found
 
 
-def field(df: DataFrame, name: str, na: Iterable[str] = NA_VALUES) -> Column:
-    """A field as text, NULL where it is missing or one of ``na``. A field that no row of the source has is NULL."""
+def _plain(kind: T.DataType) -> bool:
+    """Whether values of a type are written in unreserved characters only."""
+    return isinstance(kind, (T.IntegralType, T.BooleanType, T.DateType))
+
+
+def field(df: DataFrame, name: str, na: Iterable[str] = NA_VALUES, encoded: bool = False) -> Column:
+    """A field as text, NULL where it is missing or one of ``na``. A field that no row of the source has is NULL. ``encoded``: percent-encoded."""
     try:
         path, kind = field_path(df.schema, name)
     except UnknownField:
         return F.lit(None).cast("string")
     x = F.col(".".join(f"`{p}`" for p in path))
     x = F.to_json(x) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else x.cast("string")
-    return na_filter(x, na)
+    if _plain(kind) and not any(_NUMERAL.fullmatch(n) for n in na):
+        return x  # neither missing nor to be encoded; that keeps generated code small enough to be compiled
+    x = na_filter(x, na)
+    return x if _plain(kind) or not encoded else pct(x)
 
 
 def na_filter(x: Column, na: Iterable[str] = NA_VALUES) -> Column:
@@ -63,7 +75,7 @@ def na_filter(x: Column, na: Iterable[str] = NA_VALUES) -> Column:
 
 def template(df: DataFrame, text: Template, encoded: bool, na: Iterable[str] = NA_VALUES) -> Column:
     """A template's text; NULL if a field of it is. ``encoded``: its fields are percent-encoded."""
-    parts = [F.lit(p) if not is_field else pct(field(df, p, na)) if encoded else field(df, p, na) for p, is_field in text.parts]
+    parts = [field(df, p, na, encoded) if is_field else F.lit(p) for p, is_field in text.parts]
     return F.concat(*parts) if parts else F.lit("")
 
 
