@@ -69,11 +69,11 @@ def value_column(df: DataFrame, spec: ValueSpec, na: Iterable[str] = NA_VALUES)
 
 @dataclass
 class _Map:
-    """What makes one row of ``table`` from a source row: the templates and fields it uses, and the row as a struct of columns of a frame."""
+    """What makes one row of ``table`` from a source row: the templates and fields it uses, and the row's columns, named, over a frame."""
 
     table: str
     templates: list[Template]
-    make: Callable[[DataFrame], Column]
+    make: Callable[[DataFrame], list[Column]]
     #: Rows of maps with other marks differ, whatever the data.
     mark: tuple
 
@@ -102,6 +102,18 @@ def _one_to_one(text: Template, kinds: dict[str, T.DataType]) -> bool:
     return True
 
 
+def _by_map(columns: list[Column]) -> Column:
+    """The column of the map __m; what several maps share is spelled once."""
+    alike: dict[str, list[int]] = {}
+    for k, c in enumerate(columns):
+        alike.setdefault(str(c), []).append(k)
+    first, *rest = alike.values()
+    case = None
+    for own in rest:
+        case = (F if case is None else case).when(F.col("__m").isin(*own), columns[own[0]])
+    return columns[first[0]] if case is None else case.otherwise(columns[first[0]])
+
+
 KEYS = {"types": ("iri",), "property_decls": ("iri",), "terms": ("iri", "value"), "statements": ("stmt_iri", "subject_iri", "value.lex"), "qualifiers": ("stmt_iri", "value.lex"), "ref_snaks": ("stmt_iri", "ref_iri", "value.lex")}
 
 
@@ -153,16 +165,17 @@ class _Builder:
         quoted = lambda c: F.col(f"`{c}`")
         has_map = any("map<" in df.schema[c].dataType.simpleString() for c in columns)  # maps can't be compared
         if has_map:
-            rows = [m.make(df) for m in maps]
+            rows = [F.struct(*m.make(df)) for m in maps]
             out = df.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
         elif len(maps) == 1:
             narrow = df.select(*[quoted(c) for c in columns]).distinct() if columns else df.select(F.lit(0).alias("__m")).distinct()
-            out = narrow.select(maps[0].make(narrow).alias("x")).select("x.*")
+            out = narrow.select(*maps[0].make(narrow))
         else:
             rows = [F.struct(F.lit(k).alias("__m"), *[(quoted(c) if c in own else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in columns]) for k, own in enumerate(used)]
             narrow = df.select(F.explode(F.array(*rows)).alias("x")).select("x.*").distinct()
-            x = reduce(lambda case, k: case.when(F.col("__m") == k, maps[k].make(narrow)), range(1, len(maps)), F.when(F.col("__m") == 0, maps[0].make(narrow)))
-            out = narrow.select(x.alias("x")).select("x.*")
+            made = [m.make(narrow) for m in maps]
+            out = narrow.select(*[_by_map(list(column)) for column in zip(*made)])
+            out = out.toDF(*[f.name for f in T.StructType.fromDDL(SCHEMAS[name]).fields])
         self.out[name].append(out.where(" and ".join(f"{c} is not null" for c in KEYS[name])))
         self.marks[name] += [m.mark for m in maps]
         self.distinct[name] &= not has_map and whole and all(_one_to_one(t, kinds) for m in maps for t in m.templates)
@@ -175,14 +188,14 @@ class _Builder:
         for b in blocks:
             iri = lambda d, b=b: entity_iri(d, b.entity, na)
             key = b.entity.explicit_id or b.entity.template
-            maps["types"] += [_Map("types", [key], lambda d, c=c, iri=iri: F.struct(iri(d).alias("iri"), F.lit(c).alias("class_iri")), (b.name, c)) for c in b.entity.classes]
+            maps["types"] += [_Map("types", [key], lambda d, c=c, iri=iri: [iri(d).alias("iri"), F.lit(c).alias("class_iri")], (b.name, c)) for c in b.entity.classes]
             if b.entity.kind == "property" and b.entity.property_type:
-                maps["property_decls"].append(_Map("property_decls", [key], lambda d, b=b, iri=iri: F.struct(iri(d).alias("iri"), F.lit(b.entity.property_type).alias("property_type")), (b.name,)))
+                maps["property_decls"].append(_Map("property_decls", [key], lambda d, b=b, iri=iri: [iri(d).alias("iri"), F.lit(b.entity.property_type).alias("property_type")], (b.name,)))
             for t in b.terms:
 
-                def term(d: DataFrame, t=t, iri=iri) -> Column:
+                def term(d: DataFrame, t=t, iri=iri) -> list[Column]:
                     v = value_column(d, t.value, na)
-                    return F.struct(iri(d).alias("iri"), F.lit(t.kind).alias("kind"), v["lang"].alias("lang"), v["lex"].alias("value"))
+                    return [iri(d).alias("iri"), F.lit(t.kind).alias("kind"), v["lang"].alias("lang"), v["lex"].alias("value")]
 
                 maps["terms"].append(_Map("terms", [key, _value_template(t.value)], term, (b.name, t.kind, t.value.language)))
             for s in b.statements:
@@ -190,14 +203,14 @@ class _Builder:
                 name = lambda d, text=text: template(d, text, True, na)
                 stmt = lambda d, name=name: F.concat(F.lit(STATEMENT), name(d)).alias("stmt_iri")
 
-                def statement(d: DataFrame, v: Column, iri=iri, stmt=stmt, s=s) -> Column:
-                    return F.struct(stmt(d), iri(d).alias("subject_iri"), F.lit(s.property.iri).alias("prop_iri"), v.alias("value"), F.lit(s.rank).alias("rank"), F.lit(s.stat_id).alias("stat_id"))
+                def statement(d: DataFrame, v: Column, iri=iri, stmt=stmt, s=s) -> list[Column]:
+                    return [stmt(d), iri(d).alias("subject_iri"), F.lit(s.property.iri).alias("prop_iri"), v.alias("value"), F.lit(s.rank).alias("rank"), F.lit(s.stat_id).alias("stat_id")]
 
-                def qualifier(d: DataFrame, v: Column, q: Snak, stmt=stmt) -> Column:
-                    return F.struct(stmt(d), F.lit(q.property.iri).alias("prop_iri"), v.alias("value"))
+                def qualifier(d: DataFrame, v: Column, q: Snak, stmt=stmt) -> list[Column]:
+                    return [stmt(d), F.lit(q.property.iri).alias("prop_iri"), v.alias("value")]
 
-                def snak(d: DataFrame, v: Column, k: int, r: Snak, stmt=stmt, name=name) -> Column:
-                    return F.struct(stmt(d), F.concat(F.lit(REFERENCE_NODE), name(d), F.lit(f"_{k}")).alias("ref_iri"), F.lit(k).alias("ref_id"), F.lit(r.property.iri).alias("prop_iri"), v.alias("value"))
+                def snak(d: DataFrame, v: Column, k: int, r: Snak, stmt=stmt, name=name) -> list[Column]:
+                    return [stmt(d), F.concat(F.lit(REFERENCE_NODE), name(d), F.lit(f"_{k}")).alias("ref_iri"), F.lit(k).alias("ref_id"), F.lit(r.property.iri).alias("prop_iri"), v.alias("value")]
 
                 wanted = [("statements", s.value, statement, (s.stat_id,))]
                 wanted += [("qualifiers", q.value, lambda d, v, q=q, f=qualifier: f(d, v, q), (s.stat_id, q.property.iri)) for q in s.qualifiers]
