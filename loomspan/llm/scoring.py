@@ -12,9 +12,11 @@ documents, so they don't depend on how documents are dealt to tasks.
 
 The predictions' logits are added with weights that a gate picks (the bit's
 depth in the code, and how often its contexts were seen). Gated weights and the
-refinement (how predictions of this size turned out) are learned beforehand on
-a bounded sample of training documents, each bit without its own count. Every
-document begins from them; while it is scored, its weights and its refinement
+refinement (how predictions of this size turned out) are learned beforehand from
+every bit of all training documents, each without its own count: the bits are
+counted by gate and by their logits in ``LEVELS`` levels, the counts are summed
+whole, and Newton's steps on those sums give the weights. Every document begins
+from them; while it is scored, its weights and its refinement
 are corrected after 32 bits at first and later after each eighth of what was
 read. A text's score depends on the model and the text alone: contexts begin
 anew with each text, and very long texts are read in segments with all state
@@ -32,14 +34,15 @@ tables give empty results; extra columns are ignored.
 
 Bounds: ``VOCABULARY`` words in the code and 2^``MAX_BITS`` slots in a table,
 whose number follows the training bytes below that; a full table blends
-contexts, never drops them. The sample has ``FIT_DOCS`` texts at most.
+contexts, never drops them. Counts to learn from are ``CLASSES`` numbers at
+most, however many bits they tell of.
 """
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -64,12 +67,13 @@ SEGMENT = 220_000
 LONG_TEXT = 400_000
 #: Texts that are scored side by side, at most.
 SIDE_BY_SIDE = 1000
+#: Bytes of texts whose words are counted together, and different words that a task keeps, and their bytes, about.
+COUNTED, KINDS, KIND_BYTES = 1 << 20, 200_000, 24 << 20
 LOOK_BACK = 16  # a power of two
 #: So many of the most frequent words are told apart as a topic.
 TOPICS = 64
-FIT_DOCS, FIT_BYTES = 1500, 1 << 16
-#: Steps of learning for a bit: of the weights on the sample and in a document, where it falls with the bits read.
-FIT_RATE, FIT_STEP, RATE, SLOWER = 0.004, 512, 0.004, 4000.0
+#: Steps of learning for a bit in a document: they fall with the bits read.
+RATE, SLOWER = 0.004, 4000.0
 FIRST_STEP, SHARE_STEP = 32, 8
 #: What a count begins with, and how much faster the refinement is corrected than weights.
 PRIOR, REFINE = 0.4, 2.0
@@ -78,9 +82,26 @@ SCALE = 16.0
 #: Mixed logits from -8 to 8 in steps: of the probability, and cells of the refinement.
 FINE, COARSE, MIDDLE, CELLS = 64, 32, 512, 33
 GATES = 2 * 16 * 4 * 4
+#: What weights are before any bit is seen, and how much (as a sum of squared logits) holds them there; Newton's steps, at most.
+FIRST_WEIGHT, HOLD, NEWTON = 0.3, 300.0, 30
+#: Logits in levels, finer around zero, which is one of them, and classes of bits: by gate and the levels of all logits.
+_LEVEL = 2 * np.sinh(0.28 * np.arange(-8, 9))
+LEVELS = len(_LEVEL)
+CLASSES = GATES * LEVELS ** (1 + HASHED)
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
+_AC = np.uint32(0x9E3779B1 * 0xC2B2AE35 & 0xFFFFFFFF)
+
+
+def pick(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``values`` at places that are in range; not asking numpy to make sure of that takes a fraction of the time."""
+    return values.take(at, mode="wrap")
+
+
+def add_ones(totals: np.ndarray, at: np.ndarray) -> None:
+    """One more at each place, as often as it is named; an array of ones is added in a fraction of the time that one number takes."""
+    np.add.at(totals, at.astype(np.intp), np.ones(len(at), totals.dtype))
 
 
 def stream(text: bytes | None) -> bytes:
@@ -129,6 +150,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(np.full(n, _ODD)), np.cumprod(np.full(n, _BACK))
 
 
+def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of some streams, which of them are white space, and where words begin and end."""
+    flat = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
+    space = (flat == 32) | (flat - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    return flat, space, edges[::2], edges[1::2]
+
+
 @dataclass
 class Words:
     """The words of some streams: the bytes, where each word begins and ends, its hash, and how many each stream has."""
@@ -141,10 +170,7 @@ class Words:
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Words:
-        flat = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
-        space = (flat == 32) | (flat - np.uint8(9) < 5)
-        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
-        starts, ends = edges[::2], edges[1::2]
+        flat, _, starts, ends = split(texts)
         # A word's bytes times rising powers, and then the powers up to it taken out: the same wherever it stands.
         power, back = _powers(1 << (len(flat) - 1).bit_length())
         sums = np.cumsum((flat + np.uint64(1)) * power[: len(flat)])
@@ -173,8 +199,8 @@ class _Ids:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         at = (hashes >> np.uint64(64 - self.bits)).astype(np.intp)
-        there = self.keys.take(at)
-        out = self.ids.take(at)
+        there = pick(self.keys, at)
+        out = pick(self.ids, at)
         open_ = np.flatnonzero((there != hashes) & (there != 0))
         out[(there != hashes) & (there == 0)] = self.escape
         while len(open_):
@@ -301,13 +327,12 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
         gone = int((rare_at < skip).sum())
         rare, rare_len, rare_at = rare[gone:], rare_len[gone:], rare_at[gone:]
         reps[:skip] = 0
-    total = int(reps.sum())
     unit = np.repeat(tok, reps)
     context = [np.repeat(c, reps) for c in (_mixed(topic * _A + np.uint32(2)), _mixed(one * _A + np.uint32(1)))]
     if len(rare):
         rare_to = np.cumsum(rare_len)
         within = np.arange(int(rare_to[-1])) - np.repeat(rare_to - rare_len, rare_len)
-        shown = words.flat.take(np.repeat(words.starts[rare], rare_len) + within).astype(np.int64)
+        shown = pick(words.flat, np.repeat(words.starts[rare], rare_len) + within).astype(np.int64)
         shown[rare_to - 1] = 256
         first = (np.cumsum(reps) - reps)[rare_at]
         where = np.repeat(first + 1, rare_len) + within
@@ -316,27 +341,28 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
         two_bytes = b1 * np.uint32(259) + b2
         context[0][where] = _mixed((two_bytes * _A) ^ (np.repeat(topic[rare_at], rare_len) * _B))
         context[1][where] = _mixed((two_bytes * np.uint32(259) + b3) * _A + np.minimum(within, 7).astype(np.uint32) * _B)
-    n_bits = code.lengths[unit]
+    n_bits = pick(code.lengths, unit)
     to = np.cumsum(n_bits)
-    of = np.repeat(np.arange(total), n_bits)
-    place = np.arange(len(of))
     upto_units = np.concatenate([[0], np.cumsum(reps)])[upto]
     ends = np.concatenate([[0], to])[upto_units]
-    runs = None
-    if pos is not None and len(of):
-        runs = Runs.of(ends, pos)
-        of, place = of.take(runs.order), runs.order.copy()
-    place -= (to - n_bits - code.starts[unit]).take(of)
-    path = code.paths.take(place)
+    of = np.zeros(int(n_bits.sum()), np.intp)
+    of[to[:-1]] = 1
+    np.cumsum(of, out=of)
+    runs = Runs.of(ends, pos) if pos is not None and len(of) else None
+    if runs:
+        of, place = pick(of, runs.order), runs.order.copy()
+    else:
+        place = np.arange(len(of))
+    place -= pick(to - n_bits - pick(code.starts, unit), of)
+    path = pick(code.paths, place)
     node = path >> 1
-    bit = (path & 1).astype(np.uint8)
-    salt = node.astype(np.uint32)
-    salt *= _A
+    bit = path.astype(np.uint8)
+    bit &= np.uint8(1)
+    salt = node.view(np.uint32) * _AC
     hashes = []
     for c in context:
-        h = c.take(of)
+        h = pick(c * _C, of)
         h += salt
-        h *= _C
         hashes.append(h)
     sizes[:1] -= skip
     if told:
@@ -373,8 +399,13 @@ def _strength(n: np.ndarray) -> np.ndarray:
 _SEEN = np.array([k if k <= 15 else 15 * 2 ** ((k - 15) / 4) for k in range(256)])
 #: Packed counts from which on a context was seen once, a few and many times.
 _SOME = tuple(np.uint16(int(np.searchsorted(_SEEN, n)) << 8) for n in (1, 4, 30))
-#: Logits by packed counts.
-_LOGIT = np.tile(((np.arange(256) - 128) / SCALE).astype(np.float32), 256)
+
+
+def _logits(packed: np.ndarray) -> np.ndarray:
+    x = (packed & np.uint16(255)).astype(np.float32)
+    x -= np.float32(128)
+    x *= np.float32(1 / SCALE)
+    return x
 
 
 def packed_counts(zeros_ones: np.ndarray) -> np.ndarray:
@@ -402,21 +433,12 @@ class Model:
         self.kind = self.code.spelled.astype(np.int32) * CELLS
         self.bits = int(self.tables[0].size).bit_length() - 1
 
-    def inputs(self, b: Bits, leave_out: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
-        """Logits by table, and each bit's gate. ``leave_out``: as if the bit itself had not been counted."""
-        raw = [t.take(h >> np.uint32(32 - self.bits)) for t, h in zip(self.tables, b.hashes)]
-        x = [self.alone.take(b.node), *(_LOGIT.take(r) for r in raw)]
-        if leave_out:
-            one = b.bit.astype(np.float64)
-            own = self.code.zeros_ones[b.node]
-            x[0] = np.log((np.maximum(own[:, 1] - one, 0) + PRIOR) / (np.maximum(own[:, 0] - 1 + one, 0) + PRIOR)).astype(np.float32)
-            for k in range(HASHED):
-                seen = (raw[k] >> np.uint16(8)).astype(np.intp)
-                n = _SEEN[seen]
-                ones = np.clip((n + 2 * PRIOR) / (1 + np.exp(-x[k + 1].astype(np.float64))) - PRIOR, 0, n)
-                x[k + 1] = np.log((np.maximum(ones - one, 0) + PRIOR) / (np.maximum(n - ones - 1 + one, 0) + PRIOR)).astype(np.float32)
-                raw[k] = (np.maximum(seen, 1) - 1 << 8).astype(np.uint16)
-        gate = self.place.take(b.node)
+    def inputs(self, b: Bits) -> tuple[list[np.ndarray], np.ndarray]:
+        """Logits by table, and each bit's gate."""
+        raw = [pick(t, h >> np.uint32(32 - self.bits)) for t, h in zip(self.tables, b.hashes)]
+        node = b.node.astype(np.intp)
+        x = [pick(self.alone, node), *map(_logits, raw)]
+        gate = pick(self.place, node)
         for k, r in enumerate(raw):
             level = (r >= _SOME[0]).view(np.uint8)
             for least in _SOME[1:]:
@@ -426,6 +448,39 @@ class Model:
         return x, gate.astype(np.intp)
 
 
+@dataclass
+class Classes:
+    """Tells the class of a bit, as if the bit had not been counted, from its path and from what the tables say; twice the class and the bit."""
+
+    paths: np.ndarray
+    packed: list[np.ndarray]
+
+    @classmethod
+    def of(cls, model: Model) -> Classes:
+        def level(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+            x = np.log((np.maximum(ones, 0) + PRIOR) / (np.maximum(zeros, 0) + PRIOR))
+            return np.searchsorted((_LEVEL[1:] + _LEVEL[:-1]) / 2, x)
+
+        bit = np.arange(2)
+        z = model.code.zeros_ones[:, :, None]
+        parts = 2 * (model.place.astype(np.int64)[:, None] * LEVELS**3 + level(z[:, 1] - bit, z[:, 0] - 1 + bit) * LEVELS**2) + bit
+        all_ = np.arange(1 << 16, dtype=np.uint16)
+        seen = _SEEN[all_ >> 8]
+        ones = np.clip((seen + 2 * PRIOR) / (1 + np.exp(-_logits(all_).astype(np.float64))) - PRIOR, 0, seen)[:, None]
+        left = np.maximum(all_ >> 8, 1) - 1 << 8
+        often = sum((left >= least).astype(np.int64) for least in _SOME)[:, None]
+        levels = level(ones - bit, seen[:, None] - ones - 1 + bit)
+        packed = [2 * ((often << 2 * k) * LEVELS**3 + levels * LEVELS ** (1 - k)) for k in range(HASHED)]
+        return cls(parts.astype(np.int32).ravel(), [p.astype(np.int32).T.ravel() for p in packed])  # all for a zero, then for a one
+
+    def find(self, b: Bits, tables: list[np.ndarray], bits: int) -> np.ndarray:
+        out = pick(self.paths, b.node << 1 | b.bit)
+        bit = b.bit.astype(np.uint32) << np.uint32(16)
+        for table, own, h in zip(tables, self.packed, b.hashes):
+            out += pick(own, bit | pick(table, h >> np.uint32(32 - bits)))
+        return out
+
+
 @dataclass
 class State:
     """What some texts have learned so far: corrections of weights and of the refinement; all have read ``pos`` bits."""
@@ -470,20 +525,19 @@ def log_probabilities(b: Bits, model: Model, state: State) -> np.ndarray:
         b = Bits(b.bit.take(runs.order), b.node.take(runs.order), [h.take(runs.order) for h in b.hashes], b.ends)
     bounds, steps, texts, lengths, offsets = runs.bounds, runs.steps, runs.texts, runs.lengths, runs.offsets
     x, gate = model.inputs(b)
-    base = model.weights[0].take(gate)
+    base = pick(model.weights[0], gate)
     base *= x[0]
     for k in range(1, 1 + HASHED):
-        more = model.weights[k].take(gate)
+        more = pick(model.weights[k], gate)
         more *= x[k]
         base += more
     kind = (b.node > len(model.code.words)) * np.int32(CELLS)
     row = np.repeat((texts * (2 * CELLS)).astype(np.int32), lengths)
     row += kind
     one = b.bit.astype(np.float32)
-    none = 1 - one
     cost = np.empty(len(one), np.float32)
-    change, shift = state.change, state.shift
-    known = model.refined.astype(np.float32)
+    change, known = state.change, np.tile(model.refined.astype(np.float32), n)
+    table = known + state.shift
     first = np.searchsorted(steps, np.arange(len(bounds)))
     for j in range(len(bounds) - 1):
         own = slice(first[j], first[j + 1])
@@ -494,26 +548,25 @@ def log_probabilities(b: Bits, model: Model, state: State) -> np.ndarray:
         for k in range(1 + HASHED):
             mixed += np.repeat(change[k].take(who), each) * xs[k]
         cell = _levels(mixed)
-        p = _CHANCE.take(cell)
+        p = pick(_CHANCE, cell)
         cell //= COARSE
-        place = cell + row[s]
-        cell += kind[s]
-        refined = known.take(cell)
-        refined += shift.take(place)
+        cell += row[s]
+        refined = pick(table, cell)
         np.clip(refined, 0.0005, 0.9995, out=refined)
-        final = p + refined
-        final *= np.float32(0.5)
-        final -= none[s]
-        cost[s] = final
+        np.add(p, refined, out=cost[s])
         rate = RATE / (1 + (state.pos + int(bounds[j])) / SLOWER)
         miss = (y - p) * np.float32(rate)
         for k in range(1 + HASHED):
             change[k, who] += np.add.reduceat(miss * xs[k], at - at[0])
         refined -= y
-        shift -= np.bincount(place, weights=refined, minlength=len(shift)) * np.float32(rate * REFINE)
+        table -= np.bincount(cell, weights=refined, minlength=len(table)) * np.float32(rate * REFINE)
+    state.shift[:] = table - known
     state.pos += int(bounds[-1])
-    logs = np.log10(np.abs(cost)).astype(np.float64)
-    return np.bincount(texts, weights=np.add.reduceat(logs, offsets), minlength=n)
+    # Of a bit that is zero, what its chance to be one leaves.
+    cost *= np.float32(0.5)
+    cost -= np.subtract(np.float32(1), one, out=one)
+    logs = np.log(np.abs(cost, out=cost), out=cost).astype(np.float64)  # numpy's log10 takes several times as long
+    return np.bincount(texts, weights=np.add.reduceat(logs, offsets), minlength=n) / np.log(10)
 
 
 @dataclass
@@ -582,21 +635,37 @@ def count_words(learn: DataFrame) -> DataFrame:
 
     @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        found: list[pa.Table] = []
+        wait: list[bytes] = []
+        size = 0
 
-        def told() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-            found.clear()
-            return out
+        def add() -> None:
+            flat, space, starts, ends = split(wait)
+            offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(flat[~space])])
+            found.append(pa.Table.from_arrays(words.value_counts().flatten(), names=["word", "n"]))
+            wait.clear()
+
+        def merge() -> None:
+            whole = pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            found[:] = [whole.select(["word", "n_sum"]).rename_columns(["word", "n"])]
 
         for batch in batches:
             for part in slices(batch, 256):
                 for text in part.column(0).to_pylist():
                     for words, _ in segments(stream(text)):
-                        found.update(words.split())
-                    if len(found) > 200_000:
-                        yield told()
-        yield told()
+                        wait.append(words)
+                        size += len(words)
+                        if size > COUNTED:
+                            add()
+                            size = 0
+                            if sum(map(len, found)) > 3 * KINDS or sum(t.nbytes for t in found) > 3 * KIND_BYTES:
+                                merge()
+                                if len(found[0]) > KINDS or found[0].nbytes > KIND_BYTES:
+                                    yield from found.pop().to_batches(max_chunksize=KINDS)
+        add()
+        merge()
+        yield from found.pop().to_batches(max_chunksize=KINDS)
 
     small_batches(learn.sparkSession)
     return staged(learn.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "words")
@@ -622,6 +691,38 @@ def count_bytes(rare: DataFrame) -> np.ndarray:
     return total
 
 
+def keep_memory() -> None:
+    """Have the worker keep some freed memory while its task runs: arrays of a few MB come and go, and each anew would be filled with zeros by the system."""
+    setting = getattr(ctypes.CDLL(None), "mallopt", None)
+    if setting:
+        setting(-1, 64 << 20)  # M_TRIM_THRESHOLD
+        setting(-3, 32 << 20)  # M_MMAP_THRESHOLD
+
+
+def spelled(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Bits]:
+    """The bits of all texts in the first column, some texts or a segment of a long one at a time."""
+    keep_memory()
+    wait: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, 1024):
+            for text in part.column(0).to_pylist():
+                data = stream(text)
+                if len(data) > LONG_TEXT:
+                    before = b""
+                    for piece, last in segments(data):
+                        yield spell([piece], code, before, last)
+                        before = ahead(before, piece)
+                    continue
+                wait.append(data)
+                size += len(data) + 1
+                if size > SEGMENT:
+                    yield spell(wait, code)
+                    wait, size = [], 0
+    if wait:
+        yield spell(wait, code)
+
+
 def count_contexts(learn: DataFrame, code: Code, bits: int) -> list[np.ndarray]:
     """The packed tables: every task counts its part, and the parts are added up slot by slot."""
     blocks = max(1, (2 << bits) // (2 * BLOCK))
@@ -631,34 +732,14 @@ def count_contexts(learn: DataFrame, code: Code, bits: int) -> list[np.ndarray]:
     @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros_ones = np.zeros((HASHED, 2 << bits), np.uint32)
-        wait: list[bytes] = []
-        size = seen = 0
-
-        def add(b: Bits) -> None:
+        seen = False
+        for found in spelled(batches, shared.value):
+            seen = True
             for k in range(HASHED):
-                slot = b.hashes[k] >> np.uint32(32 - bits)
+                slot = found.hashes[k] >> np.uint32(32 - bits)
                 slot <<= np.uint32(1)
-                slot |= b.bit
-                np.add.at(zeros_ones[k], slot.astype(np.intp), np.uint32(1))
-
-        for batch in batches:
-            for part in slices(batch, 1024):
-                for text in part.column(0).to_pylist():
-                    data = stream(text)
-                    seen += 1
-                    if len(data) > LONG_TEXT:
-                        before = b""
-                        for piece, last in segments(data):
-                            add(spell([piece], shared.value, before, last))
-                            before = ahead(before, piece)
-                        continue
-                    wait.append(data)
-                    size += len(data) + 1
-                    if size > SEGMENT:
-                        add(spell(wait, shared.value))
-                        wait, size = [], 0
-        if wait:
-            add(spell(wait, shared.value))
+                slot |= found.bit
+                add_ones(zeros_ones[k], slot)
         if seen:
             for k in range(HASHED):
                 own = zeros_ones[k].reshape(blocks, -1)
@@ -687,50 +768,79 @@ def count_contexts(learn: DataFrame, code: Code, bits: int) -> list[np.ndarray]:
         k, b = divmod(r["block"], blocks)
         own = np.frombuffer(r["counts"], np.uint16)
         tables[k, b * len(own) : (b + 1) * len(own)] = own
+    shared.unpersist()
     return list(tables)
 
 
-def fit(model: Model, texts: list[bytes], rounds: int = 2) -> None:
-    """Gated weights by gradient steps over a sample, bit by bit as if it had not been counted; then the refinement."""
-    groups, group = [], []
-    for t in texts:
-        group.append(t)
-        if sum(map(len, group)) > SEGMENT:
-            groups.append(group)
-            group = []
-    groups += [group] if group else []
-    seen, ones = np.zeros(2 * CELLS), np.zeros(2 * CELLS)
-    for r in range(rounds):
-        for group in groups:
-            b = spell(group, model.code)
-            x, gate = model.inputs(b, True)
-            y, where = b.bit.astype(np.float32), model.kind.take(b.node)
-            for at in range(0, len(y), FIT_STEP):
-                s = slice(at, at + FIT_STEP)
-                g, xs = gate[s], [v[s] for v in x]
-                level = _levels(sum(model.weights[k].take(g) * xs[k] for k in range(1 + HASHED)))
-                miss = (y[s] - _CHANCE.take(level)) * np.float32(FIT_RATE / (1 + r))
-                for k in range(1 + HASHED):
-                    model.weights[k] += np.bincount(g, weights=miss * xs[k], minlength=GATES).astype(np.float32)
-                if r == rounds - 1:
-                    cell = where[s] + level // COARSE
-                    seen += np.bincount(cell, minlength=len(seen))
-                    ones += np.bincount(cell, weights=y[s], minlength=len(ones))
+def count_classes(learn: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The classes that bits of the training texts fall into, in order, and how many zeros and ones each has: sums of whole numbers, however texts are dealt to tasks."""
+    shared = learn.sparkSession.sparkContext.broadcast((model.code, model.tables, Classes.of(model), model.bits))
+
+    @tidied
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, tables, classes, bits = shared.value
+        total = np.zeros(2 * CLASSES, np.uint32)
+        held = 0
+
+        def told() -> pa.RecordBatch:
+            own = np.flatnonzero(total)
+            out = pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total[own], pa.int64())], names=["class", "n"])
+            total[own] = 0
+            return out
+
+        for found in spelled(batches, code):
+            if held + len(found.bit) >= 1 << 32:
+                yield told()
+                held = 0
+            held += len(found.bit)
+            add_ones(total, classes.find(found, tables, bits))
+        if held:
+            yield told()
+
+    small_batches(learn.sparkSession)
+    rows = learn.select("text").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()  # 2 * CLASSES at most
+    shared.unpersist()
+    at, n = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    classes, row = np.unique(at >> 1, return_inverse=True)
+    zeros_ones = np.zeros((len(classes), 2))
+    zeros_ones[row, at & 1] = n
+    return classes, zeros_ones
+
+
+def fit(model: Model, classes: np.ndarray, zeros_ones: np.ndarray) -> None:
+    """Gated weights by Newton's steps over counted classes of bits; then the refinement."""
+    n, ones = zeros_ones.sum(axis=1), zeros_ones[:, 1]
+    gate = classes // LEVELS ** (1 + HASHED)
+    x = np.stack([_LEVEL[classes // LEVELS ** (HASHED - k) % LEVELS] for k in range(1 + HASHED)])
+    sums = lambda v: np.bincount(gate, weights=v, minlength=GATES)
+    weights = np.full((1 + HASHED, GATES), FIRST_WEIGHT)
+    for _ in range(NEWTON):
+        p = 1 / (1 + np.exp(-np.clip((weights[:, gate] * x).sum(axis=0), -30, 30)))
+        slope = np.stack([sums((ones - n * p) * v) for v in x]) - HOLD * (weights - FIRST_WEIGHT)
+        bend = np.array([[sums(n * p * (1 - p) * v * w) for w in x] for v in x]).transpose(2, 0, 1) + HOLD * np.eye(1 + HASHED)
+        step = np.clip(np.linalg.solve(bend, slope.T[:, :, None])[:, :, 0].T, -0.5, 0.5)
+        weights += step
+        if np.abs(step).max() < 1e-6:
+            break
+    model.weights = weights.astype(np.float32)
+    cell = gate // (GATES // 2) * CELLS + _levels((weights[:, gate] * x).sum(axis=0).astype(np.float32)) // COARSE
+    seen, turned = (np.bincount(cell, weights=v, minlength=2 * CELLS) for v in (n, ones))
     middle = 1 / (1 + np.exp(-(np.arange(CELLS) - 15.5) / 2))
-    model.refined = (ones + 40 * np.tile(middle, 2)) / (seen + 40)
+    model.refined = (turned + 40 * np.tile(middle, 2)) / (seen + 40)
 
 
 def train(docs: DataFrame) -> tuple[Model, DataFrame, dict]:
     """The model, the counts of words that it has no path for, and totals, from all training rows of ``docs``."""
     learn = docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
     seen = count_words(learn)
-    sums = seen.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.sum(F.col("c") * (F.length("word") + 1)), F.lit(0)).alias("bytes")).first()
     ends = learn.count()
     # From which count on there are few enough words, by a sixteenth of a power of two; so no task sends more than there are.
     grade = F.floor(F.log2(F.col("c").cast("double")) * 16)
+    grades = seen.groupBy((F.col("c") >= OFTEN).alias("often"), grade.alias("grade")).agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n"), F.sum(F.col("c") * (F.length("word") + 1)).alias("bytes")).collect()  # at most 1024 rows
+    sums = {k: sum(r[k] for r in grades) for k in ("v", "n", "bytes")}
     least, held = float("inf"), 0
-    for r in seen.where(F.col("c") >= OFTEN).groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("grade")).collect():  # at most 1024 rows
-        held += r["n"]
+    for r in sorted((r for r in grades if r["often"]), key=lambda r: -r["grade"]):
+        held += r["v"]
         if held > VOCABULARY:
             break
         least = r["grade"]
@@ -740,12 +850,9 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, dict]:
     rare = seen.where(~often)
     code = Code(words, counts, float(sums["n"] - counts.sum()), float(ends), count_bytes(rare))
     bits = min(MAX_BITS, max(MIN_BITS, int(sums["bytes"] // SLOT_BYTES).bit_length()))
-    weights = np.full((1 + HASHED, GATES), 0.3, np.float32)
-    middle = 1 / (1 + np.exp(-(np.arange(CELLS) - 15.5) / 2))
-    model = Model(code, count_contexts(learn, code, bits), weights, np.tile(middle, 2), np.log10(np.concatenate([counts, [0, ends]]) + 1), ends > 0)
-    # Keys alone are ordered; only texts of the sample come to the driver.
-    few = learn.where(F.length("text") <= FIT_BYTES).where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < (1 << 20) * min(1.0, 1.5 * FIT_DOCS / max(ends, 1)))
-    fit(model, [stream(r["text"]) for r in few.orderBy(F.xxhash64("doc_id", F.lit(3)), F.xxhash64("text")).select("text").limit(FIT_DOCS).collect()])
+    weights, refined = np.full((1 + HASHED, GATES), FIRST_WEIGHT, np.float32), np.zeros(2 * CELLS)
+    model = Model(code, count_contexts(learn, code, bits), weights, refined, np.log10(np.concatenate([counts, [0, ends]]) + 1), ends > 0)
+    fit(model, *count_classes(learn, model))
     return model, rare, {"tokens": sums["n"] + ends, "kinds": sums["v"] + (ends > 0)}
 
 
@@ -764,6 +871,7 @@ def score(docs: DataFrame) -> DataFrame:
     state = {"n": 0}
 
     def rows(part: dict[str, list]) -> dict[str, list]:
+        keep_memory()
         m = shared.value
         first = (TaskContext.get().partitionId() << 36) + state["n"]
         state["n"] += len(part["text"])

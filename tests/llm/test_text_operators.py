@@ -250,6 +250,70 @@ def test_mixing_beats_word_counts_on_held_out_text(spark):
     assert len(got) > 20 and sum(r["score"] for r in got) > 0.9 * sum(r["base_score"] for r in got)
 
 
+def test_weights_are_learned_from_every_training_bit(spark):
+    rng = random.Random(10)
+    texts = [t.decode() for t in random_texts(rng, 1800, 0, 4)]
+    texts += [" ".join(rng.choice(["oolong", "kettle", "Leaf"]) + str(rng.randint(0, 9)) for _ in range(n)) for n in (12_000, 60_000)]  # over 64 kB, and one read in segments
+    ids = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 != 2][: len(texts)]
+    other = next(k for k in range(3000, 4000) if zlib.crc32(str(k).encode()) % 7 == 2)
+    docs = frame(spark, [*zip(ids, texts), (other, "never learned")]).repartition(5)
+    model, _, _ = sc.train(docs)
+    assert np.abs(sc.train(docs.where(F.length("text") > 1 << 16))[0].weights - 0.3).max() > 0.05  # long texts alone teach, too
+    learn = docs.where(F.col("doc_id") != other).select(F.col("text").cast("binary").alias("text"))
+    classes, zeros_ones = sc.count_classes(learn, model)
+    whole = sc.spell([sc.stream(t.encode()) for t in texts], model.code)
+    assert zeros_ones.sum(axis=0).tolist() == [(whole.bit == 0).sum(), (whole.bit == 1).sum()]
+    again = sc.Model(model.code, model.tables, model.weights * 0, model.refined * 0, model.log_count)
+    sc.fit(again, classes, zeros_ones)
+    assert np.array_equal(again.weights, model.weights) and np.array_equal(again.refined, model.refined)
+
+
+def test_classes_and_weights_against_brute_force():
+    rng = random.Random(11)
+    texts = random_texts(rng, 50, 0, 60)
+    model, whole = small_model(np.random.default_rng(11), texts)
+    want = Counter()
+    nearest = lambda zeros, ones: min(range(sc.LEVELS), key=lambda k: abs(math.log((max(ones, 0) + sc.PRIOR) / (max(zeros, 0) + sc.PRIOR)) - sc._LEVEL[k]))
+    for k in range(len(whole.bit)):
+        node, y = int(whole.node[k]), int(whole.bit[k])
+        zeros, ones = model.code.zeros_ones[node]
+        levels = [nearest(zeros - 1 + y, ones - y)]
+        gate = int(model.code.spelled[node]) << 8 | int(model.code.depth[node]) << 4
+        for t in range(sc.HASHED):
+            packed = int(model.tables[t][int(whole.hashes[t][k]) >> (32 - model.bits)])
+            n, logit = sc._SEEN[packed >> 8], ((packed & 255) - 128) / sc.SCALE
+            ones = min(n, max(0, (n + 2 * sc.PRIOR) / (1 + math.exp(-logit)) - sc.PRIOR))
+            levels.append(nearest(n - ones - 1 + y, ones - y))
+            rest = max(packed >> 8, 1) - 1
+            gate |= sum(rest >= int(np.searchsorted(sc._SEEN, least)) for least in (1, 4, 30)) << 2 * t
+        where = gate
+        for level in levels:
+            where = where * sc.LEVELS + level
+        want[2 * where + y] += 1
+    found = sc.Classes.of(model).find(whole, model.tables, model.bits)
+    assert Counter(found.tolist()) == want
+    classes = np.array(sorted({c >> 1 for c in want}))
+    zeros_ones = np.array([[want[2 * c], want[2 * c + 1]] for c in classes.tolist()], float)
+    sc.fit(model, classes, zeros_ones)
+
+    def loss(weights):
+        total = sc.HOLD / 2 * float(((weights - sc.FIRST_WEIGHT) ** 2).sum())
+        for c, (zeros, ones) in zip(classes.tolist(), zeros_ones):
+            x = [sc._LEVEL[c // sc.LEVELS**k % sc.LEVELS] for k in range(sc.HASHED, -1, -1)]
+            mixed = float(weights[:, c // sc.LEVELS**3] @ x)
+            total += zeros * np.logaddexp(0, mixed) + ones * np.logaddexp(0, -mixed)
+        return total
+
+    best = model.weights.astype(float)
+    for gate in sorted({c // sc.LEVELS**3 for c in classes.tolist()})[:12]:
+        for k in range(1 + sc.HASHED):
+            for off in (-0.02, 0.02):
+                moved = best.copy()
+                moved[k, gate] += off
+                assert loss(moved) > loss(best)
+    assert (np.delete(best, classes // sc.LEVELS**3, axis=1) == np.float32(sc.FIRST_WEIGHT)).all()
+
+
 # Sharding ---------------------------------------------------------------------------
 
 
