@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import FORGET, as_rows, map_batches, small_batches, staged, text_key, tidied
+from .common import FORGET, as_rows, map_batches, shuffles_freed, small_batches, staged, text_key, tidied
 from .components import components
 
 #: log2 of the counters of words, and of the bits that tell shingles which more than one class has in its prefix.
@@ -205,7 +205,8 @@ def _summed(df: DataFrame, blocks: int, kind: type, count, add) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "part"])
 
     small_batches(df.sparkSession)
-    rows = df.mapInArrow(tidied(emit), schema).repartition(32, "block").mapInArrow(tidied(merge), schema).collect()
+    with shuffles_freed(df.sparkSession):
+        rows = df.mapInArrow(tidied(emit), schema).repartition(32, "block").mapInArrow(tidied(merge), schema).collect()
     width = len(rows[0]["part"]) // np.dtype(kind).itemsize if rows else 1
     total = np.zeros((blocks, width), kind)
     for r in rows:
@@ -487,7 +488,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 85, tile: int
 def near_filter(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that begin their component, with all their columns."""
     kept = near_duplicates(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key")))
-    kept = kept.select("doc_id", "key").distinct()
-    rows = as_rows(docs).withColumns({"id": F.col("row")["doc_id"].cast("long"), "text_key": text_key("row.text")})
-    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["text_key"] == kept["key"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_key"]).select("row.*")
+    # Plain columns, null ids apart: one shuffle of the texts serves the join and finds repeated rows.
+    same = ["no_id", "id", "text_key"]
+    keyed = lambda id, key: {"no_id": id.isNull(), "id": F.coalesce(id, F.lit(0)), "text_key": key}
+    kept = kept.select(*[c.alias(n) for n, c in keyed(F.col("doc_id"), F.col("key")).items()]).distinct()
+    rows = as_rows(docs).withColumns(keyed(F.col("row")["doc_id"].cast("long"), text_key("row.text")))
+    return rows.join(kept, same, "left_semi").dropDuplicates(same).select("row.*")

@@ -1,13 +1,16 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomspan.llm import components as cc
 from loomspan.llm import ngram_join as nj
 from loomspan.llm import packing as pk
+from loomspan.llm.common import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -83,6 +86,46 @@ def test_join_of_nothing(spark):
     assert got(nj.near_duplicates(frame(spark, [(1, None), (2, ""), (3, "x")]))) == [("1", 0, "1"), ("2", 0, "2"), ("3", 1, "3")]
 
 
+def shuffled(spark):
+    """Bytes that this session has written to shuffles."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+
+def test_filter_shuffles_texts_once(spark):
+    rng = random.Random(17)
+    text = lambda: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=60)) for _ in range(100))
+    texts = [text() for _ in range(600)]
+    near = [t.rsplit(" ", 1)[0] + " end" for t in texts[:5]]
+    rows = list(enumerate(texts)) + [(1000 + k, t) for k, t in enumerate(near)] + [(7, texts[7]), (7, texts[7]), (2000, texts[8]), (None, texts[9]), (None, None), (None, None), (3000, ""), (7, text())]
+    df = frame(spark, rows).selectExpr("*", "true as text_key", "2L as no_id")
+    before = shuffled(spark)
+    kept = nj.near_filter(df, 5, 80).collect()
+    moved = shuffled(spark) - before
+    want = [*enumerate(texts), (None, None), (3000, ""), rows[-1]]
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == sorted((str(k), str(t)) for k, t in want)
+    assert all(r["text_key"] is True and r["no_id"] == 2 for r in kept)
+    assert moved < 1.5 * sum(len(t or "") for _, t in rows), moved
+
+
+def test_staged_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {name for k in range(found.size()) if (name := found.apply(k).getName()).startswith("shuffle_")}
+
+    before = files()
+    assert len(staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "freed").collect()) == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    for _ in range(50):  # they go in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+
+
 def test_sketch_distance_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for _ in range(200):
