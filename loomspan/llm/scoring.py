@@ -8,7 +8,9 @@ hashed contexts (for words: the most frequent of the last sixteen words, which
 tells language and topic, and the word before; inside a spelled word: the last
 two bytes with that most frequent word, and three bytes with the place in the
 word). Their counts of zeros and ones are 32-bit sums over all training
-documents, so they don't depend on how documents are dealt to tasks.
+documents, so they don't depend on how documents are dealt to tasks. In one
+context, ``NEAR`` levels of a path are neighbours in a table, as random reads
+and writes of memory are much of the cost.
 
 The predictions' logits are added with weights that a gate picks (the bit's
 depth in the code, and how often its contexts were seen). Gated weights and the
@@ -43,6 +45,7 @@ from __future__ import annotations
 import ctypes
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -65,6 +68,8 @@ BLOCK = 1 << 16
 #: Bytes of texts that are gone through together; a longer text is read in segments of about so many.
 SEGMENT = 220_000
 LONG_TEXT = 400_000
+#: So many levels of a path lie together in a table, in one or two lines of the processor's cache.
+NEAR = 4
 #: Texts that are scored side by side, at most.
 SIDE_BY_SIDE = 1000
 #: Bytes of texts whose words are counted together, and different words that a task keeps, and their bytes, about.
@@ -79,7 +84,7 @@ FIRST_STEP, SHARE_STEP = 32, 8
 PRIOR, REFINE = 0.4, 2.0
 #: Logits are kept as bytes, in sixteenths.
 SCALE = 16.0
-#: Mixed logits from -8 to 8 in steps: of the probability, and cells of the refinement.
+#: Mixed logits from -8 to 8 in steps: of the probability, and cells of the refinement, a power of two of those each.
 FINE, COARSE, MIDDLE, CELLS = 64, 32, 512, 33
 GATES = 2 * 16 * 4 * 4
 #: What weights are before any bit is seen, and how much (as a sum of squared logits) holds them there; Newton's steps, at most.
@@ -213,13 +218,17 @@ class _Ids:
 
 @dataclass
 class Code:
-    """Words by falling count, then the escape, the end, 256 bytes and the end of a spelled word; ``zeros_ones`` of each node."""
+    """Words by falling count, then the escape, the end, 256 bytes and the end of a spelled word; ``zeros_ones`` of each node.
+
+    ``table_bits``: log2 of the slots of the tables that go with it, in which ``NEAR`` levels of a path are neighbours.
+    """
 
     words: list[bytes]
     counts: np.ndarray
     escaped: float
     ends: float
     byte_counts: np.ndarray
+    table_bits: int = MAX_BITS
     ids: _Ids = field(init=False)
 
     def __post_init__(self):
@@ -234,17 +243,21 @@ class Code:
         self.bits = np.concatenate([first[3], second[3]])
         self.zeros_ones = np.concatenate([first[4], second[4]])
         self.depth = np.zeros(len(self.zeros_ones), np.uint8)
-        deep = np.minimum(np.arange(len(self.nodes)) - np.repeat(self.starts, self.lengths), 15)
-        self.depth[self.nodes] = deep
+        level = np.arange(len(self.nodes)) - np.repeat(self.starts, self.lengths)
+        self.depth[self.nodes] = np.minimum(level, 15)
+        # A node's slot is that of the node ``level % NEAR`` levels above, and as many further as the turns from there tell.
+        above = level % NEAR
+        turns = sum(np.where(above >= k, np.roll(self.bits, k).astype(np.int64) << (k - 1), 0) for k in range(1, NEAR))
+        salts = self.nodes[np.arange(len(self.nodes)) - above].view(np.uint32) * _AC + ((1 << above) - 1 + turns << 32 - self.table_bits).astype(np.uint32)
         self.spelled = (np.arange(len(self.zeros_ones)) > v).astype(np.uint8)
-        self.paths = self.nodes << 1 | self.bits  # node and bit
+        self.steps = np.stack([(self.nodes << 1 | self.bits).view(np.uint32), salts], axis=1)  # node and bit, and what tells the slot
 
 
 @dataclass
 class Runs:
     """Bits of one step of learning lie together, in a run for each text that goes so far, text after text.
 
-    ``bounds`` are the steps; of each run its step, its text, its length and where it begins; ``order`` arranges bits so.
+    ``bounds`` are the steps; of each run its step, its text, its length, and where it begins now and where before; ``order`` arranges bits so.
     """
 
     bounds: np.ndarray
@@ -252,7 +265,11 @@ class Runs:
     texts: np.ndarray
     lengths: np.ndarray
     offsets: np.ndarray
-    order: np.ndarray
+    sources: np.ndarray
+
+    @property
+    def order(self) -> np.ndarray:
+        return np.arange(int(self.lengths.sum())) + np.repeat(self.sources - self.offsets, self.lengths)
 
     @classmethod
     def of(cls, ends: np.ndarray, pos: int) -> Runs:
@@ -263,10 +280,7 @@ class Runs:
         runs = np.clip(sizes - bounds[:-1, None], 0, np.diff(bounds)[:, None])
         steps, texts = np.nonzero(runs)
         lengths = runs[steps, texts]
-        offsets = np.cumsum(lengths) - lengths
-        order = np.arange(int(lengths.sum()))
-        order += np.repeat(begins[texts] + bounds[steps] - offsets, lengths)
-        return cls(bounds, steps, texts, lengths, offsets, order)
+        return cls(bounds, steps, texts, lengths, np.cumsum(lengths) - lengths, begins[texts] + bounds[steps])
 
 
 @dataclass
@@ -345,25 +359,32 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
     to = np.cumsum(n_bits)
     upto_units = np.concatenate([[0], np.cumsum(reps)])[upto]
     ends = np.concatenate([[0], to])[upto_units]
-    of = np.zeros(int(n_bits.sum()), np.intp)
-    of[to[:-1]] = 1
-    np.cumsum(of, out=of)
-    runs = Runs.of(ends, pos) if pos is not None and len(of) else None
-    if runs:
-        of, place = pick(of, runs.order), runs.order.copy()
-    else:
-        place = np.arange(len(of))
-    place -= pick(to - n_bits - pick(code.starts, unit), of)
-    path = pick(code.paths, place)
-    node = path >> 1
+    place = pick(code.starts, unit)
+    runs = Runs.of(ends, pos) if pos is not None and len(to) and to[-1] else None
+    if runs:  # the units of each run, of which the first and the last may belong to it in part
+        begin, end = runs.sources, runs.sources + runs.lengths
+        first, final = np.searchsorted(to, begin, side="right"), np.searchsorted(to, end)
+        many = final - first + 1
+        upto_runs = np.cumsum(many)
+        which = np.arange(int(upto_runs[-1])) + np.repeat(first - upto_runs + many, many)
+        gone = begin - (to - n_bits)[first]
+        over = to[final] - end
+        n_bits, place, context = pick(n_bits, which), pick(place, which), [pick(c, which) for c in context]
+        n_bits[upto_runs - many] -= gone
+        place[upto_runs - many] += gone
+        n_bits[upto_runs - 1] -= over
+        to = np.cumsum(n_bits)
+    # Places follow each other, but for the first of a unit.
+    at = np.ones(int(to[-1]) if len(to) else 0, np.intp)
+    at[:1] = place[:1]
+    at[to[:-1]] = place[1:] - place[:-1] - n_bits[:-1] + 1
+    steps = code.steps.take(np.cumsum(at, out=at), axis=0, mode="wrap")
+    path, salt = steps[:, 0], steps[:, 1]
+    node = (path >> np.uint32(1)).view(np.int32)
     bit = path.astype(np.uint8)
     bit &= np.uint8(1)
-    salt = node.view(np.uint32) * _AC
-    hashes = []
-    for c in context:
-        h = pick(c * _C, of)
-        h += salt
-        hashes.append(h)
+    both = np.repeat(np.stack([c * _C for c in context], axis=1), n_bits, axis=0)
+    hashes = [h + salt for h in both.T]
     sizes[:1] -= skip
     if told:
         flat = words.flat.tobytes()
@@ -401,9 +422,8 @@ _SEEN = np.array([k if k <= 15 else 15 * 2 ** ((k - 15) / 4) for k in range(256)
 _SOME = tuple(np.uint16(int(np.searchsorted(_SEEN, n)) << 8) for n in (1, 4, 30))
 
 
-def _logits(packed: np.ndarray) -> np.ndarray:
-    x = (packed & np.uint16(255)).astype(np.float32)
-    x -= np.float32(128)
+def _logits(packed: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    x = np.subtract(packed & np.uint16(255), np.float32(128), out=out, dtype=np.float32)
     x *= np.float32(1 / SCALE)
     return x
 
@@ -433,11 +453,14 @@ class Model:
         self.kind = self.code.spelled.astype(np.int32) * CELLS
         self.bits = int(self.tables[0].size).bit_length() - 1
 
-    def inputs(self, b: Bits) -> tuple[list[np.ndarray], np.ndarray]:
+    def inputs(self, b: Bits) -> tuple[np.ndarray, np.ndarray]:
         """Logits by table, and each bit's gate."""
         raw = [pick(t, h >> np.uint32(32 - self.bits)) for t, h in zip(self.tables, b.hashes)]
         node = b.node.astype(np.intp)
-        x = [pick(self.alone, node), *map(_logits, raw)]
+        x = np.empty((1 + HASHED, len(node)), np.float32)
+        self.alone.take(node, mode="wrap", out=x[0])
+        for own, r in zip(x[1:], raw):
+            _logits(r, own)
         gate = pick(self.place, node)
         for k, r in enumerate(raw):
             level = (r >= _SOME[0]).view(np.uint8)
@@ -531,9 +554,8 @@ def log_probabilities(b: Bits, model: Model, state: State) -> np.ndarray:
         more = pick(model.weights[k], gate)
         more *= x[k]
         base += more
-    kind = (b.node > len(model.code.words)) * np.int32(CELLS)
-    row = np.repeat((texts * (2 * CELLS)).astype(np.int32), lengths)
-    row += kind
+    row = np.repeat(texts * (2 * CELLS), lengths)
+    row += (b.node > len(model.code.words)) * np.intp(CELLS)
     one = b.bit.astype(np.float32)
     cost = np.empty(len(one), np.float32)
     change, known = state.change, np.tile(model.refined.astype(np.float32), n)
@@ -543,21 +565,23 @@ def log_probabilities(b: Bits, model: Model, state: State) -> np.ndarray:
         own = slice(first[j], first[j + 1])
         who, each, at = texts[own], lengths[own], offsets[own]
         s = slice(at[0], at[-1] + each[-1])
-        y, xs = one[s], [v[s] for v in x]
-        mixed = base[s].copy()
-        for k in range(1 + HASHED):
-            mixed += np.repeat(change[k].take(who), each) * xs[k]
+        y, xs = one[s], x[:, s]
+        mixed = base[s]
+        parts = np.repeat(change.take(who, axis=1), each, axis=1)
+        parts *= xs
+        for more in parts:
+            mixed += more
         cell = _levels(mixed)
         p = pick(_CHANCE, cell)
-        cell //= COARSE
+        cell >>= COARSE.bit_length() - 1
         cell += row[s]
         refined = pick(table, cell)
         np.clip(refined, 0.0005, 0.9995, out=refined)
         np.add(p, refined, out=cost[s])
         rate = RATE / (1 + (state.pos + int(bounds[j])) / SLOWER)
         miss = (y - p) * np.float32(rate)
-        for k in range(1 + HASHED):
-            change[k, who] += np.add.reduceat(miss * xs[k], at - at[0])
+        np.multiply(xs, miss, out=parts)
+        change[:, who] += np.add.reduceat(parts, at - at[0], axis=1)
         refined -= y
         table -= np.bincount(cell, weights=refined, minlength=len(table)) * np.float32(rate * REFINE)
     state.shift[:] = table - known
@@ -577,12 +601,11 @@ class Scored:
     tokens: int = 0
     known: int = 0
     logs: float = 0.0
-    others: dict[bytes, int] = field(default_factory=dict)
+    others: Counter[bytes] = field(default_factory=Counter)
 
     def add(self, score: float, tokens: int, known: int, logs: float, rare: list[bytes]) -> None:
         self.score, self.tokens, self.known, self.logs = self.score + score, self.tokens + tokens, self.known + known, self.logs + logs
-        for w in rare:
-            self.others[w] = self.others.get(w, 0) + 1
+        self.others.update(rare)
 
 
 def score_texts(texts: list[bytes], model: Model) -> list[Scored]:
@@ -848,8 +871,8 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, dict]:
     top = sorted(((r["c"], bytes(r["word"])) for r in seen.where(often).collect()), key=lambda x: (-x[0], x[1]))
     words, counts = [w for _, w in top], np.array([c for c, _ in top], np.float64)
     rare = seen.where(~often)
-    code = Code(words, counts, float(sums["n"] - counts.sum()), float(ends), count_bytes(rare))
     bits = min(MAX_BITS, max(MIN_BITS, int(sums["bytes"] // SLOT_BYTES).bit_length()))
+    code = Code(words, counts, float(sums["n"] - counts.sum()), float(ends), count_bytes(rare), bits)
     weights, refined = np.full((1 + HASHED, GATES), FIRST_WEIGHT, np.float32), np.zeros(2 * CELLS)
     model = Model(code, count_contexts(learn, code, bits), weights, refined, np.log10(np.concatenate([counts, [0, ends]]) + 1), ends > 0)
     fit(model, *count_classes(learn, model))

@@ -192,6 +192,31 @@ def test_words_are_found_by_hash():
     assert len(set(words.hashes.tolist())) == len(set(each)) and sc._Ids([]).find(words.hashes).max() == 0
 
 
+def test_slots_of_a_word_lie_together():
+    rng = random.Random(11)
+    words = sorted({bytes(rng.choices(range(97, 123), k=rng.randint(2, 9))) for _ in range(4000)})
+    counts, rare = np.sort(np.random.default_rng(11).pareto(1, len(words)) + 1)[::-1], np.arange(1.0, 258)
+    texts = [b" ".join(rng.choice(words[:300] if rng.random() < 0.7 else words) for _ in range(60)) + b" xqzj" for _ in range(300)]
+    for bits in (12, 16, 22):
+        code = sc.Code(words, counts, 50.0, 20.0, rare, bits)
+        b, units = sc.spell(texts, code), sc.spell([b" ".join(words)], code)
+        to = np.cumsum(code.lengths[: len(words)])
+        for h in units.hashes:  # some levels of a path are neighbours, in any table
+            for end, n in zip(to.tolist(), code.lengths.tolist()):
+                slots = (h[end - n : end] >> np.uint32(32 - bits)).astype(np.int64)
+                for k in range(0, n, 4):
+                    assert ((slots[k : k + 4] - slots[k]) % (1 << bits)).max() <= 14 and len(set(slots[k : k + 4].tolist())) == len(slots[k : k + 4])
+        used = sc.spell([w + b" " + v for w, v in zip(rng.sample(words, 900), rng.sample(words, 900))], code)
+        n = len(set(zip(used.hashes[1].tolist(), used.node.tolist())))  # what differs is dealt to slots as evenly as by chance
+        even = (1 - math.exp(-n / (1 << bits))) * (1 << bits)
+        assert len(set((used.hashes[1] >> np.uint32(32 - bits)).tolist())) > 0.95 * even
+        for pos in (0, 1000):  # in runs: the same bits, arranged
+            runs = sc.spell(texts, code, pos=pos)
+            order = runs.runs.order
+            assert sorted(order.tolist()) == list(range(len(b.bit))) and np.array_equal(runs.ends, b.ends)
+            assert np.array_equal(runs.bit, b.bit[order]) and np.array_equal(runs.node, b.node[order]) and all(np.array_equal(x, y[order]) for x, y in zip(runs.hashes, b.hashes))
+
+
 def test_long_texts_are_read_in_segments(monkeypatch):
     rng = random.Random(5)
     model, _ = small_model(np.random.default_rng(5), random_texts(rng, 40))
