@@ -74,6 +74,8 @@ NEAR = 4
 SIDE_BY_SIDE = 1000
 #: Bytes of texts whose words are counted together, and different words that a task keeps, and their bytes, about.
 COUNTED, KINDS, KIND_BYTES = 1 << 20, 200_000, 24 << 20
+#: Units whose paths wait to be counted together, about, and pairs of a context and a unit that are gone along together.
+HELD, PAIRS = 1_000_000, 50_000
 LOOK_BACK = 16  # a power of two
 #: So many of the most frequent words are told apart as a topic.
 TOPICS = 64
@@ -243,11 +245,11 @@ class Code:
         self.bits = np.concatenate([first[3], second[3]])
         self.zeros_ones = np.concatenate([first[4], second[4]])
         self.depth = np.zeros(len(self.zeros_ones), np.uint8)
-        level = np.arange(len(self.nodes)) - np.repeat(self.starts, self.lengths)
+        level = np.arange(len(self.nodes), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), self.lengths)
         self.depth[self.nodes] = np.minimum(level, 15)
         # A node's slot is that of the node ``level % NEAR`` levels above, and as many further as the turns from there tell.
         above = level % NEAR
-        turns = sum(np.where(above >= k, np.roll(self.bits, k).astype(np.int64) << (k - 1), 0) for k in range(1, NEAR))
+        turns = sum(np.where(above >= k, np.roll(self.bits, k) << np.uint8(k - 1), np.uint8(0)) for k in range(1, NEAR))
         salts = self.nodes[np.arange(len(self.nodes)) - above].view(np.uint32) * _AC + ((1 << above) - 1 + turns << 32 - self.table_bits).astype(np.uint32)
         self.spelled = (np.arange(len(self.zeros_ones)) > v).astype(np.uint8)
         self.steps = np.stack([(self.nodes << 1 | self.bits).view(np.uint32), salts], axis=1)  # node and bit, and what tells the slot
@@ -304,8 +306,24 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint32(13))
 
 
-def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True, pos: int | None = None, told: bool = False) -> Bits:
-    """The bits of some streams. ``before``: the words ahead of a single one; ``last``: the end follows; ``pos``: bits read before, to arrange them in runs; ``told``: with the words that are spelled."""
+@dataclass
+class Units:
+    """What some streams are made of: words, ends, and escapes with the bytes and the end of a spelled word; each one's contexts.
+
+    ``upto``: how many units each stream ends at; ``tokens`` and ``sizes`` as of ``Bits``; ``rare``: which words are spelled.
+    """
+
+    unit: np.ndarray
+    context: list[np.ndarray]
+    upto: np.ndarray
+    tokens: np.ndarray
+    sizes: np.ndarray
+    words: Words
+    rare: np.ndarray
+
+
+def units(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True) -> Units:
+    """The units of some streams. ``before``: the words ahead of a single one; ``last``: the end follows."""
     escape = code.ids.escape
     skip = len(before.split())
     words = Words.of([before + b" " + texts[0], *texts[1:]] if skip else texts)
@@ -321,7 +339,7 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
     n = len(tok)
     upto = np.cumsum(sizes)
     if not n:
-        return Bits(np.empty(0, np.uint8), np.empty(0, np.int32), [np.empty(0, np.uint32)] * HASHED, np.zeros(len(texts), np.int64), tok, sizes, [] if told else None)
+        return Units(tok, [np.empty(0, np.uint32)] * HASHED, upto, tok, sizes, words, np.empty(0, np.intp))
     off = np.arange(n, dtype=np.int32) - np.repeat((upto - sizes).astype(np.int32), sizes)
     rare_at = np.flatnonzero(tok == escape)
     rare = np.flatnonzero(found == escape)
@@ -355,12 +373,31 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
         two_bytes = b1 * np.uint32(259) + b2
         context[0][where] = _mixed((two_bytes * _A) ^ (np.repeat(topic[rare_at], rare_len) * _B))
         context[1][where] = _mixed((two_bytes * np.uint32(259) + b3) * _A + np.minimum(within, 7).astype(np.uint32) * _B)
-    n_bits = pick(code.lengths, unit)
+    sizes[:1] -= skip
+    return Units(unit, context, np.concatenate([[0], np.cumsum(reps)])[upto], tok[skip:], sizes, words, rare)
+
+
+def expand(code: Code, place: np.ndarray, n_bits: np.ndarray, context: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Nodes and bits of paths, or parts of them, that begin at some places of the code, and the slots in some contexts before they are cut to a table's size."""
+    to = np.cumsum(n_bits)
+    # Places follow each other, but for the first of a path.
+    at = np.ones(int(to[-1]) if len(to) else 0, np.intp)
+    at[:1] = place[:1]
+    at[to[:-1]] = place[1:] - place[:-1] - n_bits[:-1] + 1
+    steps = code.steps.take(np.cumsum(at, out=at), axis=0, mode="wrap")
+    both = np.repeat(np.stack([c * _C for c in context], axis=1), n_bits, axis=0)
+    return steps[:, 0], [h + steps[:, 1] for h in both.T]
+
+
+def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True, pos: int | None = None, told: bool = False) -> Bits:
+    """The bits of some streams. ``before``: the words ahead of a single one; ``last``: the end follows; ``pos``: bits read before, to arrange them in runs; ``told``: with the words that are spelled."""
+    u = units(texts, code, before, last)
+    context = u.context
+    n_bits = pick(code.lengths, u.unit)
     to = np.cumsum(n_bits)
-    upto_units = np.concatenate([[0], np.cumsum(reps)])[upto]
-    ends = np.concatenate([[0], to])[upto_units]
-    place = pick(code.starts, unit)
-    runs = Runs.of(ends, pos) if pos is not None and len(to) and to[-1] else None
+    ends = np.concatenate([[0], to])[u.upto]
+    place = pick(code.starts, u.unit)
+    runs = Runs.of(ends, pos) if pos is not None and len(to) else None
     if runs:  # the units of each run, of which the first and the last may belong to it in part
         begin, end = runs.sources, runs.sources + runs.lengths
         first, final = np.searchsorted(to, begin, side="right"), np.searchsorted(to, end)
@@ -373,23 +410,14 @@ def spell(texts: list[bytes], code: Code, before: bytes = b"", last: bool = True
         n_bits[upto_runs - many] -= gone
         place[upto_runs - many] += gone
         n_bits[upto_runs - 1] -= over
-        to = np.cumsum(n_bits)
-    # Places follow each other, but for the first of a unit.
-    at = np.ones(int(to[-1]) if len(to) else 0, np.intp)
-    at[:1] = place[:1]
-    at[to[:-1]] = place[1:] - place[:-1] - n_bits[:-1] + 1
-    steps = code.steps.take(np.cumsum(at, out=at), axis=0, mode="wrap")
-    path, salt = steps[:, 0], steps[:, 1]
+    path, hashes = expand(code, place, n_bits, context)
     node = (path >> np.uint32(1)).view(np.int32)
     bit = path.astype(np.uint8)
     bit &= np.uint8(1)
-    both = np.repeat(np.stack([c * _C for c in context], axis=1), n_bits, axis=0)
-    hashes = [h + salt for h in both.T]
-    sizes[:1] -= skip
     if told:
-        flat = words.flat.tobytes()
-        told_words = [flat[a:b] for a, b in zip(words.starts[rare].tolist(), words.ends[rare].tolist())]
-    return Bits(bit, node, hashes, ends, tok[skip:], sizes, told_words if told else None, runs)
+        flat = u.words.flat.tobytes()
+        told_words = [flat[a:b] for a, b in zip(u.words.starts[u.rare].tolist(), u.words.ends[u.rare].tolist())]
+    return Bits(bit, node, hashes, ends, u.tokens, u.sizes, told_words if told else None, runs)
 
 
 def segments(data: bytes) -> Iterator[tuple[bytes, bool]]:
@@ -722,8 +750,8 @@ def keep_memory() -> None:
         setting(-3, 32 << 20)  # M_MMAP_THRESHOLD
 
 
-def spelled(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Bits]:
-    """The bits of all texts in the first column, some texts or a segment of a long one at a time."""
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], bytes, bool]]:
+    """All texts in the first column as ``spell`` takes them: some texts, or a segment of a long one, at a time."""
     keep_memory()
     wait: list[bytes] = []
     size = 0
@@ -734,16 +762,59 @@ def spelled(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Bits]:
                 if len(data) > LONG_TEXT:
                     before = b""
                     for piece, last in segments(data):
-                        yield spell([piece], code, before, last)
+                        yield [piece], before, last
                         before = ahead(before, piece)
                     continue
                 wait.append(data)
                 size += len(data) + 1
                 if size > SEGMENT:
-                    yield spell(wait, code)
+                    yield wait, b"", True
                     wait, size = [], 0
     if wait:
-        yield spell(wait, code)
+        yield wait, b"", True
+
+
+def spelled(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Bits]:
+    """The bits of all texts in the first column."""
+    for texts, before, last in parts(batches):
+        yield spell(texts, code, before, last)
+
+
+def count_slots(batches: Iterator[pa.RecordBatch], code: Code, bits: int) -> np.ndarray | None:
+    """How often each slot's bit was zero and one, by table, over all texts in the first column; None if there are none."""
+    zeros_ones = np.zeros((HASHED, 2 << bits), np.uint32)
+    wait: list[list[np.ndarray]] = [[] for _ in range(HASHED)]
+    seen, held = False, 0
+
+    def add() -> None:
+        # A unit that comes again in the same context takes the same path: it is gone along once, with its number.
+        for total, keys in zip(zeros_ones, wait):
+            pairs = np.concatenate(keys)
+            keys.clear()
+            pairs.sort()
+            first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+            times, pairs = np.diff(first, append=len(pairs)).astype(np.uint32), pairs[first]
+            for k in range(0, len(pairs), PAIRS):
+                some = pairs[k : k + PAIRS]
+                unit = some & np.uint64(0xFFFFFFFF)
+                n_bits = pick(code.lengths, unit.astype(np.intp))
+                path, (slot,) = expand(code, pick(code.starts, unit.astype(np.intp)), n_bits, [(some >> np.uint64(32)).astype(np.uint32)])
+                slot >>= np.uint32(32 - bits)
+                slot <<= np.uint32(1)
+                slot |= path & np.uint32(1)
+                np.add.at(total, slot.astype(np.intp), np.repeat(times[k : k + PAIRS], n_bits))
+
+    for texts, before, last in parts(batches):
+        u = units(texts, code, before, last)
+        seen, held = True, held + len(u.unit)
+        for keys, c in zip(wait, u.context):
+            keys.append(c.astype(np.uint64) << np.uint64(32) | u.unit.astype(np.uint64))
+        if held > HELD:
+            add()
+            held = 0
+    if held:
+        add()
+    return zeros_ones if seen else None
 
 
 def count_contexts(learn: DataFrame, code: Code, bits: int) -> list[np.ndarray]:
@@ -754,16 +825,8 @@ def count_contexts(learn: DataFrame, code: Code, bits: int) -> list[np.ndarray]:
 
     @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zeros_ones = np.zeros((HASHED, 2 << bits), np.uint32)
-        seen = False
-        for found in spelled(batches, shared.value):
-            seen = True
-            for k in range(HASHED):
-                slot = found.hashes[k] >> np.uint32(32 - bits)
-                slot <<= np.uint32(1)
-                slot |= found.bit
-                add_ones(zeros_ones[k], slot)
-        if seen:
+        zeros_ones = count_slots(batches, shared.value, bits)
+        if zeros_ones is not None:
             for k in range(HASHED):
                 own = zeros_ones[k].reshape(blocks, -1)
                 for b in range(0, blocks, 8):

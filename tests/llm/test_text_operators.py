@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -217,6 +218,29 @@ def test_slots_of_a_word_lie_together():
             assert np.array_equal(runs.bit, b.bit[order]) and np.array_equal(runs.node, b.node[order]) and all(np.array_equal(x, y[order]) for x, y in zip(runs.hashes, b.hashes))
 
 
+def test_repeated_pairs_are_counted_once(monkeypatch):
+    rng = random.Random(12)
+    model, _ = small_model(np.random.default_rng(12), random_texts(rng, 40))
+    texts = random_texts(rng, 150, 0, 90) + [b"", b"tea " * 500, b"Xqzj of " * 300]
+    monkeypatch.setattr(sc, "LONG_TEXT", 1200)
+    monkeypatch.setattr(sc, "SEGMENT", 700)
+    batches = lambda some: iter([pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["text"])])
+    whole = list(sc.spelled(batches(texts), model.code))
+    gone, expand = [], sc.expand
+    monkeypatch.setattr(sc, "expand", lambda code, place, n_bits, context: gone.append(int(n_bits.sum())) or expand(code, place, n_bits, context))
+    for held, at_once in ((1_000_000, 50_000), (500, 7), (1, 3)):
+        monkeypatch.setattr(sc, "HELD", held)
+        monkeypatch.setattr(sc, "PAIRS", at_once)
+        gone.clear()
+        got = sc.count_slots(batches(texts), model.code, 10)
+        for k in range(sc.HASHED):
+            want = Counter(x for b in whole for x in zip((b.hashes[k] >> np.uint32(22)).tolist(), b.bit.tolist()))
+            assert {divmod(x, 2): n for x, n in enumerate(got[k].tolist()) if n} == want
+        if held == 1_000_000:
+            assert sum(gone) < 0.5 * sc.HASHED * sum(len(b.bit) for b in whole)
+    assert sc.count_slots(iter([]), model.code, 10) is None and sc.count_slots(batches([b""]), model.code, 10).any()
+
+
 def test_long_texts_are_read_in_segments(monkeypatch):
     rng = random.Random(5)
     model, _ = small_model(np.random.default_rng(5), random_texts(rng, 40))
