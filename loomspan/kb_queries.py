@@ -68,6 +68,20 @@ def _json_array(df: DataFrame, path: str, head: str = "[", tail: str = "]") -> s
     return path
 
 
+def _one_text(rows: DataFrame, path: str) -> None:
+    """A file with one line for each of the ordered ``rows`` (value), whose ranges are written by a task each and then put one after another."""
+    spark = rows.sparkSession
+    rows.write.text(f"{path}.parts")
+    at, fs = st._hadoop(spark, path)
+    parts = [f.getPath() for f in fs.listStatus(st._hadoop(spark, f"{path}.parts")[0])]
+    out = fs.create(at, True)
+    for p in sorted((p for p in parts if p.getName().startswith("part-")), key=lambda p: p.getName()):
+        part = fs.open(p)
+        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+        part.close()
+    out.close()
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, CAST(NULL AS VARCHAR) AS nothing FROM supplier")
 def source_json_scan(spark: SparkSession, d: str) -> DataFrame:
     """A JSON file with an iterator; nested fields by dotted names, one of which no row has."""
@@ -114,7 +128,7 @@ def ntriples_malformed_lines(spark: SparkSession, d: str) -> DataFrame:
     """Line numbers of what is no triple, in one file that is read in many splits."""
     path = _path(spark, "orders.nt")
     line = F.when(F.col("o_orderkey") % 7 == 0, _text("row ", "$o_orderkey")).otherwise(_text("<urn:o:", "$o_orderkey", "> <urn:p> <urn:x> ."))
-    _t(spark, d, "orders").select("o_orderkey", line.alias("value")).repartition(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    _one_text(_t(spark, d, "orders").select("o_orderkey", line.alias("value")).orderBy("o_orderkey").select("value"), path)
     return bad_lines(spark, path).select("line", "value")
 
 
