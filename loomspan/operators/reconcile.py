@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import clean_text, iri_suffix, normalize_text
 from ..names import ITEM, ITEM_ID, PROPERTY, PROPERTY_ID
-from ..scratch import empty, written
+from ..scratch import empty, small, written
 from .store import Store
 
 REJECTS = "stage string, key string, reason string, severity string"
@@ -50,7 +50,7 @@ def dense_numbers(df: DataFrame, order: str, out: str) -> DataFrame:
     for r in sizes:
         starts.append((r["__part"], total - r["first"] + 1))
         total += r["n"]
-    offsets = F.broadcast(spark.createDataFrame(starts, "__part int, __offset long"))  # a row per part
+    offsets = F.broadcast(small(spark, starts, "__part int, __offset long"))  # a row per part
     return held.join(offsets, "__part").withColumn(out, F.col("__at") + F.col("__offset")).drop("__part", "__at", "__offset")
 
 
@@ -138,6 +138,45 @@ def _taken_names(terms: DataFrame, who: str, kind: str) -> DataFrame:
     return label.join(terms.where("kind = 'description'").select(who, "lang", F.col("value").alias("about")), [who, "lang"])
 
 
+def _merged(now: DataFrame, mine: DataFrame, names: DataFrame | None, keys: DataFrame, same: list[str]) -> DataFrame:
+    """``now`` (iri, datatype, cached, who), where entities that mean one have the least ``who`` of them all.
+
+    A name that one entity alone has moves nothing, so only names that several
+    share, and the entities that have them, are gone through again and again.
+    """
+    taken = ["lang", "label", "about"]
+    shared = lambda df, by: df.join(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by), by, "left_semi")
+    # Tables that grow with the entities are small on disk and large in memory: they are never sent to all tasks.
+    dealt = lambda df: df.hint("merge")
+    mine = written(shared(mine.select("iri", *taken).distinct(), taken), "mine")
+    searched = names is not None
+    if searched:
+        key = ["lang", "key", *same]
+        names = written(shared(names.join(now.select("iri", *same), "iri").select("iri", *key), key), "names")
+        searched = not names.isEmpty()
+        keys = keys.join(names.select(*key).distinct(), key, "left_semi").select("iri", *key)
+        keys = written(keys, "keys") if searched else keys
+    if not searched and mine.isEmpty():
+        return now
+    who = mine.select("iri").union(names.select("iri")) if searched else mine.select("iri")
+    part = written(now.join(dealt(who.distinct()), "iri", "left_semi"), "who")
+    moved = False
+    while True:
+        at = part.select("iri", "who")
+        nearer = [dealt(at).join(mine, "iri").groupBy(*taken).agg(F.min("who").alias("least")).join(dealt(mine), taken).select("iri", "least")]
+        if searched:
+            nearer.append(dealt(at).join(names, "iri").groupBy(*key).agg(F.min("who").alias("least")).join(dealt(keys), key).select("iri", "least"))
+        best = reduce(DataFrame.unionByName, nearer).groupBy("iri").agg(F.min("least").alias("least"))
+        then = part.join(dealt(best), "iri", "left").withColumn("moves", ~F.col("cached") & F.coalesce(F.col("least") < F.col("who"), F.lit(False)))
+        then = written(then.withColumn("who", F.when(F.col("moves"), F.col("least")).otherwise(F.col("who"))).drop("least"), "who")
+        if then.where("moves").isEmpty():
+            break
+        part, moved = then.drop("moves"), True
+    if not moved:
+        return now
+    return written(now.join(dealt(part.select("iri", F.col("who").alias("least"))), "iri", "left").withColumn("who", F.coalesce("least", "who")).drop("least"), "who")
+
+
 def resolve(entities: DataFrame, terms: DataFrame, lookup: DataFrame, store: Store, kind: str, default: str = "en", search: bool = True) -> Resolution:
     """Ids for ``entities`` (iri, datatype): cached, else found by label, else one new id for all that mean one entity.
 
@@ -146,9 +185,13 @@ def resolve(entities: DataFrame, terms: DataFrame, lookup: DataFrame, store: Sto
     store would refuse a second one.
     """
     known = entities.join(lookup.where(F.col("kind") == kind).select("iri", "id", F.col("datatype").alias("cached")), "iri", "left")
+    known = written(known.select("iri", "id", "cached", "datatype"), "known")
     if kind == "property":
         wrong = known.where((F.col("cached") != F.col("datatype")))
         demand_none(wrong.select(F.col("iri").alias("key"), F.concat(F.lit("is "), F.col("cached"), F.lit(" in the cache, not "), F.col("datatype")).alias("reason")), "datatypes")
+    if known.where("id is null").isEmpty():
+        letter = F.lit("Q" if kind == "item" else "P")
+        return Resolution(known.select("iri", F.concat(letter, id_number(F.col("id")).cast("string")).alias("id"), F.lit(kind).alias("kind"), F.coalesce("datatype", "cached").alias("datatype")), empty(known.sparkSession, "id string, kind string, datatype string"))
     none = F.lit(None).cast("string")
     number = lambda x: F.struct(F.lit(False).alias("new"), id_number(x).alias("number"), none.alias("lead")).cast(_WHO)
     self_ = F.struct(F.lit(True).alias("new"), F.lit(None).cast("long").alias("number"), F.col("iri").alias("lead")).cast(_WHO)
@@ -166,23 +209,13 @@ def resolve(entities: DataFrame, terms: DataFrame, lookup: DataFrame, store: Sto
     refused = mine.join(theirs, ["lang", "label", "about"]).groupBy("iri").agg(F.min_by("id", id_number(F.col("id"))).alias("other"))
     known = known.join(refused, "iri", "left").withColumn("who", F.when(F.col("who.new") & F.col("other").isNotNull(), number(F.col("other"))).otherwise(F.col("who"))).drop("other")
     now = written(known, "who")
-    if now.where("not cached").isEmpty():
-        return Resolution(now.select("iri", F.concat(F.lit("Q" if kind == "item" else "P"), F.col("who.number").cast("string")).alias("id"), F.lit(kind).alias("kind"), "datatype"), empty(now.sparkSession, "id string, kind string, datatype string"))
-    names = _names(own)
-    while True:
-        nearer = [now.join(mine, "iri").groupBy("lang", "label", "about").agg(F.min("who").alias("least")).join(mine, ["lang", "label", "about"]).select("iri", "least")]
-        if search:
-            same = ["datatype"] if kind == "property" else []
-            least = now.join(names, "iri").groupBy("lang", "key", *same).agg(F.min("who").alias("least"))
-            nearer.append(keys.join(least, ["lang", "key", *same]).select("iri", "least"))
-        best = reduce(DataFrame.unionByName, nearer).groupBy("iri").agg(F.min("least").alias("least"))
-        then = now.join(best, "iri", "left").withColumn("moves", ~F.col("cached") & F.coalesce(F.col("least") < F.col("who"), F.lit(False)))
-        if then.where("moves").isEmpty():
-            break
-        now = written(then.withColumn("who", F.when(F.col("moves"), F.col("least")).otherwise(F.col("who"))).drop("least", "moves"), "who")
+    now = _merged(now, mine, _names(own) if search else None, keys, ["datatype"] if kind == "property" else [])
     letter = "Q" if kind == "item" else "P"
     last = store.entities.where(F.col("kind") == kind).agg(F.coalesce(F.max(id_number(F.col("id"))), F.lit(0)).alias("n")).first()["n"]
-    numbered = dense_numbers(now.where("who.new").select(F.col("who.lead").alias("lead")).distinct(), "lead", "n")
+    new = now.where("who.new")
+    leads = new.select(F.col("who.lead").alias("lead")).distinct()
+    few = new.limit(10_001).count() <= 10_000  # what one task may number
+    numbered = leads.withColumn("n", F.row_number().over(Window.orderBy("lead")).cast("long")) if few else dense_numbers(leads, "lead", "n")
     ids = now.select("iri", "datatype", "who.number", "who.lead").join(numbered, "lead", "left")
     ids = written(ids.select("iri", F.concat(F.lit(letter), F.coalesce("number", F.col("n") + last).cast("string")).alias("id"), F.lit(kind).alias("kind"), "datatype", F.col("n").isNotNull().alias("fresh")), "ids")
     new = ids.where("fresh").groupBy("id").agg(F.min("datatype").alias("datatype"))
