@@ -69,7 +69,7 @@ def test_small_tables_are_known_to_the_optimizer(spark):
     rows = [("it's", "a\\b", 1), ("\n", None, 2)]
     df = small(spark, rows, "a string, b string, n long")
     assert sorted(map(tuple, df.collect())) == sorted(rows) and df.schema.simpleString() == "struct<a:string,b:string,n:bigint>"
-    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() < 10_000
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10_000
 
 
 def statement(name, subject, prop, lex, rank="normal", kind="literal", n=1):
